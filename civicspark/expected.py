@@ -223,7 +223,7 @@ def expected_sql() -> dict[str, str]:
         "extract_next_cursor": f"""SELECT max(updated_at) AS next_cursor, count(*) AS fetched
             FROM silver WHERE updated_at > TIMESTAMP '{CURSOR}'
             AND created_date >= TIMESTAMP '{FLOOR}'""",
-        "extract_keyset_page": f"""SELECT updated_at, unique_key, bbl, status FROM silver
+        "extract_keyset_page": f"""SELECT updated_at, unique_key, bbl FROM silver
             WHERE updated_at >= TIMESTAMP '{PAGE_START}'
             ORDER BY updated_at, unique_key, bbl LIMIT 20000""",
         "extract_two_runs": f"""SELECT unique_key, bbl, updated_at
@@ -317,7 +317,7 @@ def expected_sql() -> dict[str, str]:
                          corr(avg_resolution_days, median_income) AS correlation FROM points)""",
         "scd2_history": _history() + " SELECT * FROM history",
         "scd2_stored_history": _history() + " SELECT * FROM history",
-        "status_durations": _history()
+        "status_duration": _history()
         + f""" SELECT status, count(*) AS versions, CAST(sum(days) AS BIGINT) AS total_days,
             avg(days) AS avg_days
             FROM (SELECT status, date_diff('day', dbt_valid_from,
@@ -325,7 +325,7 @@ def expected_sql() -> dict[str, str]:
             GROUP BY status""",
         "stream_silver_available_now": """SELECT DISTINCT unique_key, bbl, status, city,
             resolution_time_days, "SLA_days", updated_at FROM silver""",
-        "stream_upserts": """SELECT unique_key, bbl, status, city, resolution_time_days,
+        "stream_upsert": """SELECT unique_key, bbl, status, city, resolution_time_days,
             "SLA_days", updated_at FROM staged""",
         "daily_chain": _CHAIN,
     }

@@ -93,7 +93,7 @@ class Views:
         )
 
     @cached_property
-    def _versions(self) -> DataFrame:
+    def versions(self) -> DataFrame:
         """What a line item says about a request version, without any join."""
         ship, year = F.col("l_shipdate"), F.date_trunc("year", "l_shipdate")
         return self.table("lineitem").select(
@@ -162,7 +162,7 @@ class Views:
 
     def silver(self, *attributes: str) -> DataFrame:
         """Every version of every request."""
-        return self._described(self._versions, attributes)
+        return self._described(self.versions, attributes)
 
     def raw(self, *attributes: str) -> DataFrame:
         return self.silver(*attributes).select(*[f"`{n}`" for n in schemas.RAW_COMPLAINT.names])
@@ -170,7 +170,7 @@ class Views:
     def staged(self, *attributes: str) -> DataFrame:
         """The latest version of every request, staged.  Versions are resolved before the
         attributes are joined on, so only the surviving rows are joined."""
-        newest = latest_per_key(self._versions, "unique_key", ":updated_at", TIE_BREAK)
+        newest = latest_per_key(self.versions, "unique_key", ":updated_at", TIE_BREAK)
         return stage_complaints(self._described(newest, attributes))
 
     @cached_property

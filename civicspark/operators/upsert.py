@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from civicspark.operators.dedup import latest_per_key
 from civicspark.operators.joins import split_matched
-from civicspark.session import materialize
+from civicspark.session import drop_staged, stage_table
 from civicspark.sinks.tables import (
     CLUSTER_COLUMNS,
     LAYOUT_COLUMN,
@@ -72,20 +72,36 @@ def merge_into(
     nothing, so a run that died half-way is simply repeated.  Rows without a key cannot be
     merged and must be set aside before."""
     newest_batch = latest_per_key(batch, key, newest, tie_break)
-    staged = materialize(with_layout_column(newest_batch, instant, granularity), "batch")
+    batch_name = stage_table(with_layout_column(newest_batch, instant, granularity), "batch")
+    staged = spark.table(batch_name)
     target = read_if_present(spark, path, staged.schema)
     if target is None:
         laid_out(staged, cluster).write.partitionBy(LAYOUT_COLUMN).parquet(path)
-        return
+    else:
+        _rewrite_partitions(spark, path, target, staged, key, newest, newer_only, cluster)
+    drop_staged(spark, batch_name)
+
 
+def _rewrite_partitions(
+    spark: SparkSession,
+    path: str,
+    target: DataFrame,
+    batch: DataFrame,
+    key: str,
+    newest: str,
+    newer_only: bool,
+    cluster: Sequence[str],
+) -> None:
     # Only the key and the partition value are read to find the partitions concerned.
-    _, replaced = split_matched(target.select(key, LAYOUT_COLUMN), staged, key)
-    touched = _partition_values(replaced.select(LAYOUT_COLUMN).union(staged.select(LAYOUT_COLUMN)))
+    _, replaced = split_matched(target.select(key, LAYOUT_COLUMN), batch, key)
+    touched = _partition_values(replaced.select(LAYOUT_COLUMN).union(batch.select(LAYOUT_COLUMN)))
     if not touched:
         return
     affected = target.filter(_in_partitions(touched))
-    # A job must not overwrite what it reads, so the new partitions are staged first.
-    merged = materialize(_merge_latest(affected, staged, key, newest, newer_only), "merged")
+    # A job must not overwrite what it reads, so the new partitions are staged first.  Should
+    # the publication fail, the staged table is left behind and the merge can be repeated.
+    merged_name = stage_table(_merge_latest(affected, batch, key, newest, newer_only), "merged")
+    merged = spark.table(merged_name)
     (
         laid_out(merged, cluster)
         .write.mode("overwrite")
@@ -97,7 +113,8 @@ def merge_into(
     filled = set(_partition_values(merged))
     for value in touched:
         if value not in filled:
-            _empty_partition(spark, path, staged.schema, value)
+            _empty_partition(spark, path, batch.schema, value)
+    drop_staged(spark, merged_name)
 
 
 def _partition_values(df: DataFrame) -> list:

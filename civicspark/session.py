@@ -18,11 +18,12 @@ RUNTIME_SETTINGS = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SCRATCH = "civicspark_scratch"
 BYTES_PER_REDUCER = 256 * 1024 * 1024
 MAX_REDUCERS = 32_768
 
 _local_folders: dict[str, str] = {}
-_sized: dict[str, dict[str, int]] = {}
+_sized: dict[str, dict[tuple[str, ...], int]] = {}
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -44,20 +45,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, folder: str) -> None:
-    """Start shuffles with one reducer per 256 MB of files under ``folder``; adaptive execution
-    merges the small ones.  Never goes below the session's own partition count, and leaves an
+def size_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Start shuffles with one reducer per 256 MB of the given files; adaptive execution merges
+    the small ones.  Never goes below the session's own partition count, and leaves an
     ``initialPartitionNum`` that somebody else set alone."""
     sized = _sized.setdefault(spark.sparkContext.applicationId, {})
     if not sized and spark.conf.get(INITIAL_PARTITIONS, None):
         return
-    if folder not in sized:
+    if paths not in sized:
         # Only the file listing is used: the content column is pruned from the scan.
         listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        total = listing.load(folder).agg(F.sum("length")).first()[0] or 0
-        sized[folder] = min(MAX_REDUCERS, -(-total // BYTES_PER_REDUCER))
+        total = listing.load(list(paths)).agg(F.sum("length")).first()[0] or 0
+        sized[paths] = min(MAX_REDUCERS, -(-total // BYTES_PER_REDUCER))
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL_PARTITIONS, str(max(floor, sized[folder])))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(floor, sized[paths])))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -82,12 +83,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/civicspark/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage_table(df: DataFrame, label: str) -> str:
+    """Write ``df`` to a new table in the shared folder and return the table's name.
 
     Cuts the lineage and lets several consumers share one pass; unlike a cache it does not
     have to be recomputed when an executor is lost."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{shared_dir(spark)}/{SCRATCH}'"
+    )
+    name = f"{SCRATCH}.{label}_{uuid.uuid4().hex}"
+    df.write.saveAsTable(name, format="parquet")
+    return name
+
+
+def drop_staged(spark: SparkSession, name: str) -> None:
+    """Delete a staged table with its files, once nothing reads it any more."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """``df`` staged; for results that go on being read."""
+    return df.sparkSession.table(stage_table(df, label))

@@ -27,11 +27,14 @@ def header_rows_to_table(spark: SparkSession, path: str) -> DataFrame:
         .select(opens.alias("opens"), F.posexplode(F.from_json(whole, ROWS)).alias("at", "cells"))
         .withColumn("is_header", F.col("opens") & (F.col("at") == 0))
     )
-    # Every document carries the same one-row header; only distinct headers reach the driver.
-    headers = rows.filter("is_header").select("cells").distinct().take(2)
-    if len(headers) != 1:
-        raise ValueError("the documents have no header row, or not all the same one")
-    names = headers[0].cells
-    return rows.filter(~F.col("is_header")).select(
+    first = rows.filter("is_header").select("cells").first()
+    if first is None:
+        raise ValueError("the documents have no header row")
+    names = first.cells
+    # A document with other columns must not be read under these; checked in the same pass.
+    agrees = F.col("cells") == F.array(*[F.lit(name) for name in names])
+    refused = F.raise_error(F.lit("the documents do not have the same header")).cast("boolean")
+    is_data = F.when(~F.col("is_header"), True).when(agrees, False).otherwise(refused)
+    return rows.filter(is_data).select(
         *[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)]
     )

@@ -10,15 +10,9 @@ from pyspark.sql import functions as F
 
 from civicspark import functions as fn
 from civicspark import schemas
-from civicspark.fixtures import ATTRIBUTES, TIE_BREAK, Views
-from civicspark.operators import quality
+from civicspark.fixtures import ATTRIBUTES, TABLES, TIE_BREAK, Views
+from civicspark.operators import history, quality
 from civicspark.operators.dedup import dedup_exact
-from civicspark.operators.history import (
-    read_history,
-    scd2_apply,
-    status_duration,
-    take_snapshot,
-)
 from civicspark.operators.joins import left_join
 from civicspark.operators.ranking import modal_value, top_k
 from civicspark.operators.upsert import merge_into, merge_upsert
@@ -33,7 +27,14 @@ from civicspark.plans.staging import (
     stage_income,
     staged_latest,
 )
-from civicspark.session import materialize, prepare, scratch_path, size_shuffles
+from civicspark.session import (
+    drop_staged,
+    materialize,
+    prepare,
+    scratch_path,
+    size_shuffles,
+    stage_table,
+)
 from civicspark.sinks.tables import (
     LAYOUT_COLUMN,
     append_silver,
@@ -42,12 +43,7 @@ from civicspark.sinks.tables import (
     write_layout,
     write_ndjson,
 )
-from civicspark.sources.extract import (
-    after_cursor,
-    next_cursor,
-    slice_after,
-    union_pages,
-)
+from civicspark.sources.extract import after_cursor, next_cursor, union_pages
 from civicspark.sources.files import (
     quarantine_counts,
     read_complaints,
@@ -56,7 +52,8 @@ from civicspark.sources.files import (
     register_external,
 )
 from civicspark.sources.header_rows import header_rows_to_table
-from civicspark.streaming.loads import stream_silver, stream_upsert
+from civicspark.sources.keyset import slice_after
+from civicspark.streaming import loads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,7 +88,7 @@ def query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         prepare(spark)
-        size_shuffles(spark, folder)
+        size_shuffles(spark, *[f"{folder}/{table}.parquet" for table in TABLES])
         return _zoneless(build(Views(spark, folder)))
 
     _registered[build.__name__] = run
@@ -213,7 +210,7 @@ def extract_next_cursor(v: Views) -> DataFrame:
 
 @query
 def extract_keyset_page(v: Views) -> DataFrame:
-    rows = v.raw().select(F.col("`:updated_at`").alias("updated_at"), KEY, "bbl", "status")
+    rows = v.versions.select(F.col("`:updated_at`").alias("updated_at"), KEY, "bbl")
     return slice_after(rows, ["updated_at", KEY, "bbl"], [PAGE_START, "", ""], 20_000)
 
 
@@ -246,7 +243,7 @@ def pages_union(v: Views) -> DataFrame:
 @query
 def run_stamps(v: Views) -> DataFrame:
     stamp = fn.run_stamp(F.col("ingest_timestamp")).alias("run")
-    return v.silver().groupBy(stamp).agg(F.count("*").alias("n_rows"))
+    return v.versions.groupBy(stamp).agg(F.count("*").alias("n_rows"))
 
 
 # Staging -------------------------------------------------------------------------------
@@ -264,10 +261,8 @@ def staging_latest(v: Views) -> DataFrame:
 
 @query
 def staging_incremental_slice(v: Views) -> DataFrame:
-    staged = stage_complaints(
-        v.silver().filter(F.col("ingest_date") <= F.lit(BATCH_YEAR).cast("date"))
-    )
-    return since_last_ingest(v.silver(), staged).select(KEY, "bbl", "ingest_date")
+    loaded = v.versions.filter(F.col("ingest_date") <= F.lit(BATCH_YEAR).cast("date"))
+    return since_last_ingest(v.versions, loaded).select(KEY, "bbl", "ingest_date")
 
 
 @query
@@ -321,7 +316,7 @@ def staging_positive_income(v: Views) -> DataFrame:
 
 @query
 def dq_unique(v: Views) -> DataFrame:
-    return quality.check_unique(v.silver(), KEY)
+    return quality.check_unique(v.versions, KEY)
 
 
 @query
@@ -454,34 +449,39 @@ def _snapshots(v: Views) -> list[DataFrame]:
     return [staged_latest(rows, TIE_BREAK) for rows in (*taken, silver)]
 
 
+def _history(v: Views) -> DataFrame:
+    name = None
+    for snapshot in _snapshots(v):
+        known = name and v.spark.table(name)
+        grown = stage_table(history.scd2_apply(known, snapshot, KEY, UPDATED), "history")
+        if name:
+            drop_staged(v.spark, name)
+        name = grown
+    return v.spark.table(name)
+
+
+def _version_columns(versions: DataFrame) -> DataFrame:
+    return versions.select(
+        KEY, "status", "bbl", schemas.VALID_FROM, schemas.VALID_TO, schemas.VERSION_ID
+    )
+
+
 @query
 def scd2_history(v: Views) -> DataFrame:
-    history = None
-    for snapshot in _snapshots(v):
-        history = materialize(scd2_apply(history, snapshot, KEY, UPDATED), "history")
-    return _versions(history)
+    return _version_columns(_history(v))
 
 
 @query
 def scd2_stored_history(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "snapshots")
     for run, snapshot in enumerate(_snapshots(v)):
-        take_snapshot(v.spark, path, snapshot, KEY, UPDATED, f"run{run}")
-    return _versions(read_history(v.spark, path))
-
-
-def _versions(history: DataFrame) -> DataFrame:
-    return history.select(
-        KEY, "status", "bbl", schemas.VALID_FROM, schemas.VALID_TO, schemas.VERSION_ID
-    )
+        history.take_snapshot(v.spark, path, snapshot, KEY, UPDATED, f"run{run}")
+    return _version_columns(history.read_history(v.spark, path))
 
 
 @query
-def status_durations(v: Views) -> DataFrame:
-    history = None
-    for snapshot in _snapshots(v):
-        history = materialize(scd2_apply(history, snapshot, KEY, UPDATED), "history")
-    return status_duration(history, F.lit(AS_OF).cast("timestamp"))
+def status_duration(v: Views) -> DataFrame:
+    return history.status_duration(_history(v), F.lit(AS_OF).cast("timestamp"))
 
 
 # Streams and the whole chain -----------------------------------------------------------
@@ -494,7 +494,7 @@ def _streamed_silver(v: Views) -> str:
             *[f"`{name}`" for name in schemas.RAW_COMPLAINT.names]
         )
         write_ndjson([raw], f"{path}/bronze", f"early{earlier}")
-        stream_silver(
+        loads.stream_silver(
             v.spark, f"{path}/bronze", f"{path}/silver", f"{path}/checkpoint"
         ).awaitTermination()
     return path
@@ -510,10 +510,10 @@ def stream_silver_available_now(v: Views) -> DataFrame:
 
 
 @query
-def stream_upserts(v: Views) -> DataFrame:
+def stream_upsert(v: Views) -> DataFrame:
     path = _streamed_silver(v)
     for _ in range(2):
-        stream_upsert(
+        loads.stream_upsert(
             v.spark,
             f"{path}/silver",
             f"{path}/staged",
