@@ -167,10 +167,11 @@ class Views:
     def raw(self, *attributes: str) -> DataFrame:
         return self.silver(*attributes).select(*[f"`{n}`" for n in schemas.RAW_COMPLAINT.names])
 
-    def staged(self, *attributes: str) -> DataFrame:
-        """The latest version of every request, staged.  Versions are resolved before the
-        attributes are joined on, so only the surviving rows are joined."""
-        newest = latest_per_key(self.versions, "unique_key", ":updated_at", TIE_BREAK)
+    def staged(self, *attributes: str, ingested: Column | None = None) -> DataFrame:
+        """The latest version of every request (among those ``ingested``), staged.  Versions
+        are resolved before the attributes are joined on, so only the surviving rows are."""
+        taken = self.versions if ingested is None else self.versions.filter(ingested)
+        newest = latest_per_key(taken, "unique_key", ":updated_at", TIE_BREAK)
         return stage_complaints(self._described(newest, attributes))
 
     @cached_property

@@ -23,6 +23,7 @@ from civicspark.plans.staging import (
     stage_complaints,
     stage_income,
 )
+from civicspark.session import prepare, size_shuffles
 from civicspark.sinks.tables import (
     LAYOUT_COLUMN,
     append_silver,
@@ -156,6 +157,8 @@ def run_daily(
 ) -> dict[str, DataFrame]:
     """Everything after the extract, in order.  History and marts are only touched when the
     checks pass."""
+    prepare(spark)
+    size_shuffles(spark, lake.root)
     load_silver(spark, lake, at)
     load_income(spark, lake)
     build_staging(spark, lake, full_refresh, granularity)

@@ -30,13 +30,18 @@ def read_complaints(
 
 
 def read_with_corrupt(spark: SparkSession, path: str) -> DataFrame:
-    """As ``read_complaints`` plus the text of every line that did not parse cleanly."""
+    """As ``read_complaints`` plus the text of every line that did not parse cleanly.
+
+    Lines are parsed as text: a JSON scan only parses the columns a query uses, and would not
+    notice a bad value in another."""
     schema = T.StructType(schemas.RAW_COMPLAINT.fields).add(schemas.CORRUPT, "string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     return (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", "true")
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .json(path)
+        spark.read.option("recursiveFileLookup", "true")
+        .text(path)
+        .filter(F.trim("value") != "")
+        .select(F.from_json("value", schema, options).alias("record"))
+        .select("record.*")
     )
 
 

@@ -28,6 +28,9 @@ def slice_after(
     Order columns are timestamps or strings, the first one a timestamp; rows without that are
     in no slice.  Only the rows up to the slice's end, found by counting, are sorted."""
     types = dict(df.dtypes)
+    unfit = [n for n in order if not types[n].startswith("timestamp") and types[n] != "string"]
+    if unfit or not types[order[0]].startswith("timestamp"):
+        raise TypeError(f"cannot slice in the order of {[(n, types[n]) for n in order]}")
     columns = [F.col(f"`{name}`") for name in order]
     rest = df.filter(columns[0].isNotNull())
     if last is not None:
@@ -86,7 +89,7 @@ def _steps(column: Column, kind: str) -> Iterator[tuple[Column, Test, Test, Call
                 ),
                 lambda start, span=span: start is None or span == 1,
             )
-    elif kind == "string":
+    else:
         for length in itertools.count(PREFIX_STEP, PREFIX_STEP):
             prefix = F.substring(column, 1, length)
             yield (
@@ -95,8 +98,6 @@ def _steps(column: Column, kind: str) -> Iterator[tuple[Column, Test, Test, Call
                 lambda value, prefix=prefix: prefix.eqNullSafe(F.lit(value)),
                 lambda value, length=length: value is None or len(value) < length,
             )
-    else:
-        raise TypeError(f"cannot slice by a column of type {kind}")
 
 
 def _instant(micros: int) -> Column:

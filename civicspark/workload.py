@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark import functions as fn
@@ -99,11 +99,8 @@ def registered() -> dict[str, Query]:
     return dict(_registered)
 
 
-def _ingested(v: Views, earlier: bool, *attributes: str) -> DataFrame:
-    """Silver rows ingested before, or from, the year that splits two batches."""
-    day = F.col("ingest_date")
-    limit = F.lit(BATCH_YEAR).cast("date")
-    return v.silver(*attributes).filter(day < limit if earlier else day >= limit)
+def _early() -> Column:
+    return F.col("ingest_date") < F.lit(BATCH_YEAR).cast("date")
 
 
 # Silver --------------------------------------------------------------------------------
@@ -171,8 +168,8 @@ def ndjson_quarantine(v: Views) -> DataFrame:
 @query
 def silver_partitioned_roundtrip(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "silver")
-    append_silver(_ingested(v, True), path)
-    append_silver(_ingested(v, False), path)
+    append_silver(v.silver().filter(_early()), path)
+    append_silver(v.silver().filter(~_early()), path)
     return read_silver(v.spark, path).select(
         KEY, "bbl", "status", "resolution_time_days", "SLA_days", "ingest_date"
     )
@@ -182,9 +179,9 @@ def silver_partitioned_roundtrip(v: Views) -> DataFrame:
 def external_table_refresh(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "external")
     name = "silver_" + path.rsplit("-", 1)[1]
-    append_silver(_ingested(v, True), path)
+    append_silver(v.silver().filter(_early()), path)
     register_external(v.spark, name, path)
-    append_silver(_ingested(v, False), path)
+    append_silver(v.silver().filter(~_early()), path)
     return (
         refresh_external(v.spark, name)
         .groupBy("ingest_date")
@@ -267,23 +264,23 @@ def staging_incremental_slice(v: Views) -> DataFrame:
 
 @query
 def staging_merge_upsert(v: Views) -> DataFrame:
-    target = staged_latest(_ingested(v, True, "place"), TIE_BREAK)
-    batch = materialize(stage_complaints(_ingested(v, False, "place")), "batch")
+    target = v.staged("place", ingested=_early())
+    batch = materialize(stage_complaints(v.silver("place").filter(~_early())), "batch")
     return merge_upsert(target, batch, KEY, UPDATED, TIE_BREAK)
 
 
 @query
 def staging_merge_late_batch(v: Views) -> DataFrame:
     """The older rows arrive last: a plain merge lets them replace newer ones."""
-    target = staged_latest(_ingested(v, False), TIE_BREAK)
-    batch = materialize(stage_complaints(_ingested(v, True)), "batch")
+    target = v.staged(ingested=~_early())
+    batch = materialize(stage_complaints(v.silver().filter(_early())), "batch")
     return merge_upsert(target, batch, KEY, UPDATED, TIE_BREAK)
 
 
 @query
 def staging_merge_newer_only(v: Views) -> DataFrame:
-    target = staged_latest(_ingested(v, False), TIE_BREAK)
-    batch = materialize(stage_complaints(_ingested(v, True)), "batch")
+    target = v.staged(ingested=~_early())
+    batch = materialize(stage_complaints(v.silver().filter(_early())), "batch")
     return merge_upsert(target, batch, KEY, UPDATED, TIE_BREAK, newer_only=True)
 
 
@@ -291,8 +288,8 @@ def staging_merge_newer_only(v: Views) -> DataFrame:
 def staging_merge_table(v: Views) -> DataFrame:
     """The late batch merged into a stored table, partitioned by creation month."""
     path = scratch_path(v.spark, "staged")
-    for earlier in (False, True):
-        batch = stage_complaints(_ingested(v, earlier))
+    for ingested in (~_early(), _early()):
+        batch = stage_complaints(v.silver().filter(ingested))
         merge_into(v.spark, path, batch, KEY, UPDATED, TIE_BREAK, granularity="month")
     return v.spark.read.parquet(path).drop(LAYOUT_COLUMN)
 
@@ -442,11 +439,9 @@ def income_trendline(v: Views) -> DataFrame:
 
 def _snapshots(v: Views) -> list[DataFrame]:
     """The staged table as it stood on two dates, and as it stands."""
-    silver = v.silver()
-    taken = [
-        silver.filter(F.col("ingest_date") <= F.lit(day).cast("date")) for day in SNAPSHOTS
-    ]
-    return [staged_latest(rows, TIE_BREAK) for rows in (*taken, silver)]
+    day = F.col("ingest_date")
+    earlier = [v.staged(ingested=day <= F.lit(date).cast("date")) for date in SNAPSHOTS]
+    return [*earlier, v.staged()]
 
 
 def _history(v: Views) -> DataFrame:
@@ -489,11 +484,10 @@ def status_duration(v: Views) -> DataFrame:
 
 def _streamed_silver(v: Views) -> str:
     path = scratch_path(v.spark, "stream")
-    for earlier in (True, False):
-        raw = _ingested(v, earlier, "place").select(
-            *[f"`{name}`" for name in schemas.RAW_COMPLAINT.names]
-        )
-        write_ndjson([raw], f"{path}/bronze", f"early{earlier}")
+    for run, ingested in (("early", _early()), ("late", ~_early())):
+        silver = v.silver("place").filter(ingested)
+        raw = silver.select(*[f"`{name}`" for name in schemas.RAW_COMPLAINT.names])
+        write_ndjson([raw], f"{path}/bronze", run)
         loads.stream_silver(
             v.spark, f"{path}/bronze", f"{path}/silver", f"{path}/checkpoint"
         ).awaitTermination()
