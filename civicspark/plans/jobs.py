@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from civicspark import schemas
 from civicspark.operators import quality
 from civicspark.operators.dedup import latest_per_key
-from civicspark.operators.history import take_snapshot
+from civicspark.operators.history import read_history, take_snapshot
 from civicspark.operators.upsert import merge_into
 from civicspark.plans import marts
 from civicspark.plans.silver import silver_complaints, silver_income
@@ -40,6 +40,7 @@ from civicspark.sources.files import (
     read_silver,
     silver_mark,
 )
+from civicspark.sources.header_rows import header_rows_to_table
 from civicspark.sources.state import read_state, write_state
 
 
@@ -88,6 +89,11 @@ def extract_complaints(
     return fetched
 
 
+def extract_income(spark: SparkSession, lake: Lake, documents: str) -> None:
+    """Replace the raw incomes by the rows of header-row JSON documents."""
+    overwrite_table(header_rows_to_table(spark, documents), lake.bronze_income)
+
+
 def load_silver(spark: SparkSession, lake: Lake, at: datetime | None = None) -> None:
     """Append the raw files newer than the last Silver file.  A raw file that lands while this
     runs can be missed; ``streaming.stream_silver`` has no such window."""
@@ -109,7 +115,11 @@ def build_staging(
     key.  An incremental run merges what was ingested since the last one; a full refresh, or a
     first run, rebuilds the table."""
     silver = read_silver(spark, lake.silver_complaints)
-    target = None if full_refresh else read_if_present(spark, lake.staged_complaints)
+    target = (
+        None
+        if full_refresh
+        else read_if_present(spark, lake.staged_complaints, schemas.STAGED_COMPLAINT)
+    )
     fresh = since_last_ingest(silver, target)
     keyed = stage_complaints(fresh).filter(F.col(KEY).isNotNull())
     if full_refresh:
@@ -124,7 +134,8 @@ def build_staging(
 
 
 def staged_complaints(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.parquet(lake.staged_complaints).drop(LAYOUT_COLUMN)
+    stored = spark.read.schema(schemas.STAGED_COMPLAINT).parquet(lake.staged_complaints)
+    return stored.drop(LAYOUT_COLUMN)
 
 
 def check_staging(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -136,10 +147,20 @@ def check_staging(spark: SparkSession, lake: Lake) -> dict[str, int]:
     )
 
 
+def take_history(spark: SparkSession, lake: Lake, run: str) -> None:
+    take_snapshot(spark, lake.history, staged_complaints(spark, lake), KEY, UPDATED, run)
+
+
 def publish_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The stored tables and the marts as views for SQL."""
     staged = staged_complaints(spark, lake)
-    income = spark.read.parquet(lake.staged_income)
+    income = spark.read.schema(schemas.STAGED_INCOME).parquet(lake.staged_income)
     tables = {
+        "raw_complaints": read_silver(spark, lake.silver_complaints),
+        "raw_median_income": spark.read.parquet(lake.silver_income),
+        "stg_complaints": staged,
+        "stg_median_income": income,
+        "complaints_snapshots": read_history(spark, lake.history, schemas.HISTORY),
         "fct_agency_efficiency": marts.agency_efficiency(staged),
         "fct_income_resolution": marts.income_resolution(staged, income),
         "fct_complaint_hotspots": marts.complaint_hotspots(staged, income),
@@ -163,7 +184,5 @@ def run_daily(
     load_income(spark, lake)
     build_staging(spark, lake, full_refresh, granularity)
     check_staging(spark, lake)
-    take_snapshot(
-        spark, lake.history, staged_complaints(spark, lake), KEY, UPDATED, run
-    )
+    take_history(spark, lake, run)
     return publish_marts(spark, lake)

@@ -62,6 +62,8 @@ STAGED_COLUMNS = (
     "location_type police_precinct created_at updated_at ingest_date ingest_timestamp"
 ).split()
 SYSTEM_COLUMNS = {":created_at": "created_at", ":updated_at": "updated_at"}
+_SILVER_TYPES = {SYSTEM_COLUMNS.get(f.name, f.name): f.dataType for f in SILVER_COMPLAINT}
+STAGED_COMPLAINT = T.StructType([T.StructField(n, _SILVER_TYPES[n]) for n in STAGED_COLUMNS])
 
 # The census extract's header and what each column is called here.
 INCOME_NAMES = {
@@ -70,6 +72,7 @@ INCOME_NAMES = {
     "zip code tabulation area": "zip_code",
 }
 SILVER_INCOME = declared("name STRING, median_income INT, zip_code STRING")
+STAGED_INCOME = declared("zip_code STRING, median_income INT")
 NO_DATA_CODE = "-666666"
 
 # Statuses the staged table may hold.
@@ -98,3 +101,7 @@ CORRUPT = "_corrupt_record"
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
 VERSION_ID = "dbt_scd_id"
+HISTORY = T.StructType(
+    STAGED_COMPLAINT.fields
+    + declared(f"{VERSION_ID} STRING, {VALID_FROM} TIMESTAMP, {VALID_TO} TIMESTAMP").fields
+)

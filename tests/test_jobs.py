@@ -186,3 +186,36 @@ def test_stream_upsert_equals_the_batch_merge(spark, lake):
     assert staged(spark, lake) == wanted
     upsert()
     assert staged(spark, lake) == wanted
+
+
+def test_command_line_steps(spark, lake, folder, capsys):
+    from civicspark.__main__ import main
+
+    lines(f"{folder}/api", "page", record("1", "Open", "2025-03-01"), record("2", "Closed", "2025-03-02"))
+    os.makedirs(f"{folder}/census")
+    with open(f"{folder}/census/doc.json", "w") as out:
+        out.write('[["NAME","S1901_C01_012E","zip code tabulation area"],\n["Z","5","00001"]]')
+
+    def step(task, *more):
+        main(["--task", task, "--root", folder, *more])
+
+    step("extract", "--source", f"{folder}/api")
+    assert "extracted 2 rows" in capsys.readouterr().out
+    step("extract_income", "--source", f"{folder}/census")
+    for task in ("complaints", "median_income", "staging", "test", "snapshot", "mart"):
+        step(task)
+    assert "rows left out for want of a key: 0" in capsys.readouterr().out
+    assert spark.table("stg_complaints").count() == 2
+    assert spark.table("stg_median_income").first().median_income == 5
+    assert spark.table("complaints_snapshots").count() == 2
+    with pytest.raises(SystemExit):
+        main(["--task", "extract", "--root", folder])
+
+
+def test_a_run_without_any_rows(spark, lake):
+    empty = source(spark, DAY_ONE).limit(0)
+    assert jobs.extract_complaints(spark, lake, empty, "run1") == 0
+    jobs.run_daily(spark, lake, "run1", at("2025-03-01T12:00:00"))
+    assert staged(spark, lake) == []
+    run(spark, lake, 2, DAY_ONE)
+    assert [k for k, _, _ in staged(spark, lake)] == ["1", "2"]
