@@ -77,12 +77,13 @@ def extract_complaints(
     run: str,
     first_cursor: str = schemas.FIRST_CURSOR,
     floor: str = schemas.CREATED_FLOOR,
+    compression: str = "none",
 ) -> int:
     """Store the source rows past the cursor as JSON lines, then move the cursor.  Returns the
     number of rows; with none, the cursor stays."""
     cursor = read_state(spark, lake.state, first_cursor)
     rows, seen = incremental_extract(source, cursor, floor)
-    write_ndjson([rows], lake.bronze_complaints, run)
+    write_ndjson([rows], lake.bronze_complaints, run, compression)
     fetched = seen.get["fetched"]
     if fetched:
         write_state(spark, lake.state, seen.get["next_cursor"])

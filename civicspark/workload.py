@@ -146,7 +146,7 @@ def header_rows_table(v: Views) -> DataFrame:
 @query
 def ndjson_scan(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "bronze")
-    write_ndjson([v.raw("place")], path, RUN)
+    write_ndjson([v.raw("place")], path, RUN, "gzip")
     return read_complaints(v.spark, path).select(
         KEY, "bbl", "status", "city", "borough", "created_date", "closed_date", "due_date",
         F.col("`:updated_at`").alias("updated_at"),
@@ -161,7 +161,7 @@ def ndjson_quarantine(v: Views) -> DataFrame:
     raw = v.raw().withColumn(KEY, F.when(F.col("status") != " closed ", F.col(KEY)))
     line = F.to_json(F.struct(*[f"`{name}`" for name in raw.columns]))
     cut = F.when(raw.status == "Pending", F.substring(line, F.lit(1), F.length(line) - 1))
-    raw.select(F.coalesce(cut, line).alias("value")).write.text(path)
+    raw.select(F.coalesce(cut, line).alias("value")).write.text(path, compression="gzip")
     return quarantine_counts(v.spark, path)
 
 
@@ -218,7 +218,7 @@ def extract_two_runs(v: Views) -> DataFrame:
     source = v.raw()
     seen = source.filter(F.col("`:updated_at`") <= F.lit(BATCH_YEAR).cast("timestamp"))
     for run, available in (("one", seen), ("two", source)):
-        jobs.extract_complaints(v.spark, lake, available, run, first_cursor=CURSOR, floor=FLOOR)
+        jobs.extract_complaints(v.spark, lake, available, run, CURSOR, FLOOR, "gzip")
     return read_complaints(v.spark, lake.bronze_complaints).select(
         KEY, "bbl", F.col("`:updated_at`").alias("updated_at")
     )
@@ -487,7 +487,7 @@ def _streamed_silver(v: Views) -> str:
     for run, ingested in (("early", _early()), ("late", ~_early())):
         silver = v.silver("place").filter(ingested)
         raw = silver.select(*[f"`{name}`" for name in schemas.RAW_COMPLAINT.names])
-        write_ndjson([raw], f"{path}/bronze", run)
+        write_ndjson([raw], f"{path}/bronze", run, "gzip")
         loads.stream_silver(
             v.spark, f"{path}/bronze", f"{path}/silver", f"{path}/checkpoint"
         ).awaitTermination()
@@ -525,8 +525,6 @@ def daily_chain(v: Views) -> DataFrame:
     """Extract to marts through every stored layer; the result is the published mart."""
     lake = jobs.Lake(scratch_path(v.spark, "lake"))
     overwrite_table(v.raw_income, lake.bronze_income)
-    jobs.extract_complaints(
-        v.spark, lake, v.raw(*ATTRIBUTES), RUN, first_cursor=FLOOR, floor=FLOOR
-    )
+    jobs.extract_complaints(v.spark, lake, v.raw(*ATTRIBUTES), RUN, FLOOR, FLOOR, "gzip")
     published = jobs.run_daily(v.spark, lake, RUN, RUN_AT, granularity="month")
     return published["fct_income_resolution"]
