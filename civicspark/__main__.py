@@ -30,6 +30,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--source", help="JSON-lines or header-row documents to extract from")
     parser.add_argument("--first-cursor", default=schemas.FIRST_CURSOR)
     parser.add_argument("--full-refresh", action="store_true")
+    parser.add_argument("--strict", action="store_true", help="also run the optional checks")
     parser.add_argument("--granularity", choices=("day", "month", "year"), default="day")
     chosen = parser.parse_args(given)
     if chosen.task.startswith("extract") and not chosen.source:
@@ -60,13 +61,17 @@ def main(given: list[str] | None = None) -> None:
             left_out = jobs.build_staging(spark, lake, args.full_refresh, args.granularity)
             print(f"rows left out for want of a key: {left_out.count()}")
         case "test":
-            print(jobs.check_staging(spark, lake))
+            print(jobs.check_staging(spark, lake, args.strict))
         case "snapshot":
             jobs.take_history(spark, lake, run)
         case "mart":
             show(jobs.publish_marts(spark, lake))
         case "daily":
-            show(jobs.run_daily(spark, lake, run, now, args.full_refresh, args.granularity))
+            show(
+                jobs.run_daily(
+                    spark, lake, run, now, args.full_refresh, args.granularity, args.strict
+                )
+            )
 
 
 def show(tables: dict) -> None:

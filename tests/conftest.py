@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 
@@ -33,17 +33,10 @@ def folder(tmp_path) -> str:
 
 def at(text: str) -> datetime:
     """UTC instant as a collected Spark timestamp shows it here (zone-less local time)."""
-    from datetime import timezone
-
     instant = datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
     return instant.astimezone().replace(tzinfo=None)
 
 
-def complaint(**known) -> dict:
-    """A raw record; time columns are given as text."""
-    return known
-
-
 def silver_frame(spark, rows: list[dict]):
     """Silver rows from dicts; columns not given are null, times are ISO text."""
     values = []

@@ -112,6 +112,14 @@ def test_failing_checks_stop_the_chain(spark, lake):
     assert not os.path.exists(lake.history)
 
 
+def test_optional_checks(spark, lake):
+    run(spark, lake, 1, DAY_ONE, strict=True)
+    overwrite_table(spark.createDataFrame([("2", 5)], schemas.STAGED_INCOME), lake.staged_income)
+    assert jobs.check_staging(spark, lake)["negative_income"] == 0
+    with pytest.raises(QualityError, match="relationships"):
+        jobs.check_staging(spark, lake, strict=True)
+
+
 def test_rows_without_a_key_do_not_reach_the_staged_table(spark, lake):
     rows = DAY_ONE + [(None, "Open", "2025-03-01T08:00:00", "2025-03-01T09:45:00")]
     run(spark, lake, 1, rows)
