@@ -10,6 +10,7 @@ from civicspark.workload import (
     FLOOR,
     HOT_TYPES,
     PAGE_START,
+    RUN_AT,
     SNAPSHOTS,
 )
 
@@ -215,6 +216,9 @@ def expected_sql() -> dict[str, str]:
             FROM silver""",
         "silver_partitioned_roundtrip": """SELECT unique_key, bbl, status,
             resolution_time_days, "SLA_days", ingest_date FROM silver""",
+        "silver_two_loads": f"""SELECT DISTINCT unique_key, bbl, status, resolution_time_days,
+            "SLA_days", TIMESTAMP '{RUN_AT:%Y-%m-%d %H:%M:%S}' AS ingest_timestamp,
+            DATE '{RUN_AT:%Y-%m-%d}' AS ingest_date FROM silver""",
         "external_table_refresh": """SELECT ingest_date, count(*) AS n_rows,
             CAST(sum("SLA_days") AS BIGINT) AS total_sla_days FROM silver GROUP BY ALL""",
         "extract_since_cursor": f"""SELECT unique_key, bbl, status, created_date, updated_at
@@ -244,6 +248,8 @@ def expected_sql() -> dict[str, str]:
         "staging_merge_late_batch": merge_late,
         "staging_merge_newer_only": f"SELECT * FROM {_without('staged', *_BLANK)}",
         "staging_merge_table": merge_late,
+        "staging_incremental_job": _ANY_TIE,
+        "staging_full_refresh": _ANY_TIE,
         "staging_layout": """SELECT CAST(date_trunc('month', created_date) AS DATE) AS created_part,
             unique_key, borough, complaint_type, incident_zip, created_date FROM staged""",
         "staging_positive_income": """SELECT zip_code, median_income FROM income
@@ -341,15 +347,19 @@ _SCATTER = """, points AS (
     HAVING avg_resolution_days BETWEEN 0 AND 10
 )"""
 
-# The chain extracts past a cursor and breaks version ties by all other columns, in order.
+# The jobs break version ties by all other columns, in order.
+_ALL_COLUMNS = ", ".join(
+    f'"{name}" DESC NULLS LAST'
+    for name in ("updated_at", *STAGED_COLUMNS)
+    if name not in ("unique_key", "ingest_date", "ingest_timestamp")
+)
+_ANY_TIE = f"""SELECT * FROM {_without("staging", "agency", "kind")}
+    QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY {_ALL_COLUMNS}) = 1"""
+
 _CHAIN = f""", extracted AS (
     SELECT * FROM staging
     WHERE updated_at > TIMESTAMP '{FLOOR}' AND created_date >= TIMESTAMP '{FLOOR}'
-    QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY {", ".join(
-        f'"{n}" DESC NULLS LAST'
-        for n in ["updated_at", *STAGED_COLUMNS]
-        if n not in ("unique_key", "ingest_date", "ingest_timestamp")
-    )}) = 1
+    QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY {_ALL_COLUMNS}) = 1
 ), m AS (
     SELECT CAST(date_trunc('month', created_date) AS TIMESTAMP) AS created_month,
            incident_zip AS zip_code, borough, city,

@@ -60,7 +60,13 @@ def write_layout(
 ) -> None:
     """Replace the table at ``path`` in the partitioned and clustered layout."""
     placed = laid_out(with_layout_column(df, instant, granularity), cluster)
-    placed.write.mode("overwrite").partitionBy(LAYOUT_COLUMN).parquet(path)
+    # Static, whatever the session says: a rebuild must also remove partitions now empty.
+    (
+        placed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(LAYOUT_COLUMN)
+        .parquet(path)
+    )
 
 
 def register_mart(name: str, df: DataFrame) -> DataFrame:

@@ -34,7 +34,8 @@ def read_with_corrupt(spark: SparkSession, path: str) -> DataFrame:
 
     Lines are parsed as text: a JSON scan only parses the columns a query uses, and would not
     notice a bad value in another."""
-    schema = T.StructType(schemas.RAW_COMPLAINT.fields).add(schemas.CORRUPT, "string")
+    corrupt = T.StructField(schemas.CORRUPT, T.StringType())
+    schema = T.StructType([*schemas.RAW_COMPLAINT.fields, corrupt])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     return (
         spark.read.option("recursiveFileLookup", "true")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -67,6 +68,7 @@ AS_OF = "2003-01-01"
 RUN_AT = datetime(2024, 5, 1, 12, 30, tzinfo=timezone.utc)
 RUN = RUN_AT.strftime("%Y%m%dT%H%M%SZ")
 HOT_TYPES = 3
+RAW_NAMES = [f"`{name}`" for name in schemas.RAW_COMPLAINT.names]
 
 _registered: dict[str, Query] = {}
 
@@ -175,6 +177,20 @@ def silver_partitioned_roundtrip(v: Views) -> DataFrame:
     )
 
 
+@query
+def silver_two_loads(v: Views) -> DataFrame:
+    """Two raw files and two loads: the second load takes only what came after the first."""
+    lake = jobs.Lake(scratch_path(v.spark, "lake"))
+    for run, ingested in (("early", _early()), ("late", ~_early())):
+        raw = v.silver().filter(ingested).select(*RAW_NAMES)
+        write_ndjson([raw], lake.bronze_complaints, run, "gzip")
+        jobs.load_silver(v.spark, lake, RUN_AT)
+        time.sleep(1)  # file times may be kept in whole seconds
+    return read_silver(v.spark, lake.silver_complaints).select(
+        KEY, "bbl", "status", "resolution_time_days", "SLA_days", "ingest_timestamp", "ingest_date"
+    )
+
+
 @query
 def external_table_refresh(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "external")
@@ -294,6 +310,29 @@ def staging_merge_table(v: Views) -> DataFrame:
     return v.spark.read.parquet(path).drop(LAYOUT_COLUMN)
 
 
+def _staged_in_two_runs(v: Views) -> jobs.Lake:
+    lake = jobs.Lake(scratch_path(v.spark, "lake"))
+    overwrite_table(v.silver_income, lake.silver_income)
+    for ingested in (_early(), ~_early()):
+        append_silver(v.silver("place").filter(ingested), lake.silver_complaints)
+        jobs.build_staging(v.spark, lake, granularity="month")
+    return lake
+
+
+@query
+def staging_incremental_job(v: Views) -> DataFrame:
+    """The second run merges what was ingested since the first, over a stored table."""
+    return jobs.staged_complaints(v.spark, _staged_in_two_runs(v))
+
+
+@query
+def staging_full_refresh(v: Views) -> DataFrame:
+    """As above, then rebuilt from the whole of Silver."""
+    lake = _staged_in_two_runs(v)
+    jobs.build_staging(v.spark, lake, full_refresh=True, granularity="month")
+    return jobs.staged_complaints(v.spark, lake)
+
+
 @query
 def staging_layout(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "layout")
@@ -485,8 +524,7 @@ def status_duration(v: Views) -> DataFrame:
 def _streamed_silver(v: Views) -> str:
     path = scratch_path(v.spark, "stream")
     for run, ingested in (("early", _early()), ("late", ~_early())):
-        silver = v.silver("place").filter(ingested)
-        raw = silver.select(*[f"`{name}`" for name in schemas.RAW_COMPLAINT.names])
+        raw = v.silver("place").filter(ingested).select(*RAW_NAMES)
         write_ndjson([raw], f"{path}/bronze", run, "gzip")
         loads.stream_silver(
             v.spark, f"{path}/bronze", f"{path}/silver", f"{path}/checkpoint"

@@ -198,3 +198,14 @@ def test_layout_is_partitioned_and_sorted_inside_files(spark, folder):
         for r in in_file.collect():
             by_file.setdefault(r.file, []).append((r.borough, r.complaint_type, r.incident_zip))
         assert all(rows == sorted(rows) for rows in by_file.values())
+
+
+def test_a_rebuild_removes_old_partitions_in_any_overwrite_mode(spark, folder):
+    path, mode = f"{folder}/staged", "spark.sql.sources.partitionOverwriteMode"
+    write_layout(versions(spark, [("a", "2025-01-01", "2025-01-01", "x")]), path)
+    spark.conf.set(mode, "dynamic")
+    try:
+        write_layout(versions(spark, [("b", "2025-01-01", "2025-02-01", "x")]), path)
+    finally:
+        spark.conf.unset(mode)
+    assert {k for k, _, _ in stored(spark, path)} == {"b"}

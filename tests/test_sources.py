@@ -56,6 +56,7 @@ def test_raw_scan_applies_the_declared_schema(spark, bronze):
 def test_bad_lines_are_counted(spark, bronze):
     row = files.quarantine_counts(spark, bronze).first()
     assert (row.lines, row.bad_lines, row.keyless_lines) == (4, 2, 2)
+    assert len(schemas.RAW_COMPLAINT.fields) == 24
 
 
 def test_file_mark_and_newer_files(spark, bronze, folder):
