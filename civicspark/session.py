@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicspark.sources.files import file_facts
+
 # Day counts, months and hours depend on the zone, so it is pinned.  The adaptive settings
 # are Spark's defaults, stated because the joins here rely on them to split hot keys.
 RUNTIME_SETTINGS = {
@@ -53,9 +55,7 @@ def size_shuffles(spark: SparkSession, *paths: str) -> None:
     if not sized and spark.conf.get(INITIAL_PARTITIONS, None):
         return
     if paths not in sized:
-        # Only the file listing is used: the content column is pruned from the scan.
-        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        total = listing.load(list(paths)).agg(F.sum("length")).first()[0] or 0
+        total = file_facts(spark, list(paths), F.sum("length"))[0] or 0
         sized[paths] = min(MAX_REDUCERS, -(-total // BYTES_PER_REDUCER))
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set(INITIAL_PARTITIONS, str(max(floor, sized[paths])))

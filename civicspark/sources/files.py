@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,15 +65,25 @@ def file_mark(instant: datetime | str) -> str:
     return instant.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
 
 
+def file_facts(spark: SparkSession, paths: str | list[str], *facts: Column) -> Row:
+    """Aggregates over the files' names, times and lengths.  The contents are pruned from the
+    scan, and the files are listed by few tasks: by default each would get one per 128 MB."""
+    packing = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(packing)
+    spark.conf.set(packing, "1024t")
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        return files.agg(*facts).first()
+    finally:
+        spark.conf.set(packing, usual)
+
+
 def silver_mark(spark: SparkSession, path: str) -> datetime | str:
     """Latest modification time of the written files; a fixed mark when the folder does not
     exist or holds no file.  Any other failure is raised, so that it cannot turn into a full
     reload."""
     try:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        )
-        latest = files.agg(F.max("modificationTime")).first()[0]
+        latest = file_facts(spark, path, F.max("modificationTime"))[0]
     except AnalysisException as error:
         if path_missing(error):
             return schemas.MARK_MISSING

@@ -8,6 +8,7 @@ import re
 
 import pytest
 from conftest import silver_frame
+from pyspark.sql import functions as F
 
 from civicspark.fixtures import TIE_BREAK, Views
 from civicspark.operators.dedup import latest_per_key
@@ -18,7 +19,7 @@ from civicspark.plans.staging import since_last_ingest, stage_complaints
 from civicspark.session import INITIAL_PARTITIONS, materialize, shared_dir, size_shuffles
 from civicspark.sinks.tables import append_silver, laid_out, with_layout_column
 from civicspark.sources.extract import after_cursor
-from civicspark.sources.files import read_silver, silver_mark
+from civicspark.sources.files import file_facts, read_silver, silver_mark
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -101,13 +102,25 @@ def test_layout_lets_adaptive_execution_split_hot_partitions(views):
     assert "REBALANCE_PARTITIONS_BY_COL" in text
 
 
-def test_file_mark_does_not_read_files(spark, folder):
-    spark.range(3).write.parquet(f"{folder}/t")
-    files = spark.read.format("binaryFile").load(f"{folder}/t")
-    assert "content" not in re.search(
-        r"ReadSchema: (.*)", plan(files.selectExpr("max(modificationTime)"))
-    ).group(1)
+def test_file_facts_do_not_read_files_and_take_few_tasks(spark, folder):
+    spark.range(40).write.option("maxRecordsPerFile", 1).parquet(f"{folder}/t")
     assert silver_mark(spark, f"{folder}/t") is not None
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        spark.sparkContext.setJobGroup("file-facts", "")
+        assert file_facts(spark, f"{folder}/t", F.count("*"))[0] == 40
+        tracker = spark.sparkContext.statusTracker()
+        jobs = [tracker.getJobInfo(i) for i in tracker.getJobIdsForGroup("file-facts")]
+        stages = [tracker.getStageInfo(i) for job in jobs for i in job.stageIds]
+        assert jobs and max(stage.numTasks for stage in stages) <= 5
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "100"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    files = spark.read.format("binaryFile").load(f"{folder}/t")
+    latest = plan(files.selectExpr("max(modificationTime)"))
+    assert "content" not in re.search(r"ReadSchema: (.*)", latest).group(1)
 
 
 def test_shuffles_follow_the_input_size(spark, folder, monkeypatch):
