@@ -26,7 +26,7 @@ def slice_after(
     when others are added, as a deep offset would.
 
     Order columns are timestamps or strings, the first one a timestamp; rows without that are
-    in no slice.  Only the rows up to the slice's end, found by counting, are sorted."""
+    in no slice.  Together they must tell rows apart.  Only the rows up to the slice's end, found by counting, are sorted."""
     types = dict(df.dtypes)
     unfit = [n for n in order if not types[n].startswith("timestamp") and types[n] != "string"]
     if unfit or not types[order[0]].startswith("timestamp"):
@@ -44,6 +44,23 @@ def slice_after(
     return rest.orderBy(*columns).limit(size)
 
 
+def walk_slices(
+    df: DataFrame, order: Sequence[str], size: int = PAGE_SIZE
+) -> Iterator[DataFrame]:
+    """All slices one after the other.  Only each slice's end reaches the driver.  To take the
+    whole of a large table, filter it by the cursor and write it in one go instead."""
+    last = None
+    while True:
+        page = slice_after(df, order, last, size)
+        ends = F.struct(*[F.col(f"`{name}`") for name in order])
+        count, end = page.agg(F.count("*"), F.max(ends)).first()
+        if count:
+            yield page
+        if count < size:
+            return
+        last = tuple(end)
+
+
 def _within_first(
     rows: DataFrame, order: Sequence[tuple[Column, str]], size: int
 ) -> Column | None:

@@ -12,7 +12,7 @@ from civicspark import schemas
 from civicspark.sinks.tables import overwrite_table, write_ndjson
 from civicspark.sources import extract, files, state
 from civicspark.sources.header_rows import header_rows_to_table
-from civicspark.sources.keyset import slice_after
+from civicspark.sources.keyset import slice_after, walk_slices
 
 LINES = [
     json.dumps(
@@ -150,14 +150,9 @@ def test_slices_cover_every_row_once_and_in_order(spark, shape):
     ).repartition(5).cache()
     order = ["u", "k", "n"]
     wanted = [tuple(r) for r in df.orderBy(*order).collect()]
-    found, last = [], None
-    while True:
-        page = [tuple(r) for r in slice_after(df, order, last, 90).collect()]
-        found += page
-        if len(page) < 90:
-            break
-        last = page[-1]
-    assert found == wanted
+    pages = [[tuple(r) for r in page.collect()] for page in walk_slices(df, order, 90)]
+    assert [len(page) for page in pages] == [90] * 6 + [60]
+    assert [row for page in pages for row in page] == wanted
 
 
 def test_slices_need_sortable_columns(spark):
