@@ -92,7 +92,7 @@ WITH raw_income AS (
     SELECT CAST(date_trunc('month', created_date) AS TIMESTAMP) AS created_month,
            borough, city, agency, agency_name,
            count(unique_key) AS total_cases,
-           count(CASE WHEN status = 'closed' THEN 1 END) AS total_cases_closed,
+           count(*) FILTER (WHERE status = 'closed') AS total_cases_closed,
            CAST(sum(CASE WHEN status = 'closed' THEN resolution_time_days ELSE 0 END) AS BIGINT)
                AS total_resolution_days,
            CAST(sum("SLA_days") AS BIGINT) AS total_sla_days
@@ -103,7 +103,7 @@ WITH raw_income AS (
         SELECT CAST(date_trunc('month', created_date) AS TIMESTAMP) AS created_month,
                incident_zip AS zip_code, borough, city,
                count(unique_key) AS total_complaints,
-               count(CASE WHEN status = 'closed' THEN 1 END) AS closed_complaints,
+               count(*) FILTER (WHERE status = 'closed') AS closed_complaints,
                CAST(sum(resolution_time_days) AS BIGINT) AS total_resolution_time,
                count(due_date) AS total_due_date,
                CAST(sum("SLA_days") AS BIGINT) AS total_sla_days
@@ -131,30 +131,30 @@ def _columns(names: str) -> str:
 
 
 def _hotspots(source: str, k: int) -> str:
-    """The hotspot mart in its literal form: four grains, then a left join on four keys."""
-    return f""", base AS (
-        SELECT c.*, CAST(date_trunc('month', created_date) AS TIMESTAMP) AS created_month,
-               CAST(hour(created_date) AS INTEGER) AS hour_of_day, median_income
-        FROM {source} c JOIN income i ON c.incident_zip = i.zip_code WHERE median_income > 0
-    ), hot_types AS (
-        SELECT complaint_type FROM base GROUP BY complaint_type
-        ORDER BY count(*) DESC, complaint_type NULLS LAST LIMIT {k}
-    ), busiest AS (
-        SELECT complaint_type, city, borough, created_month, hour_of_day
-        FROM base GROUP BY complaint_type, city, borough, created_month, hour_of_day
-        QUALIFY row_number() OVER (
-            PARTITION BY complaint_type, city, borough, created_month
-            ORDER BY count(*) DESC, hour_of_day) = 1
-    ), folded AS (
-        SELECT complaint_type, city, borough, created_month,
-               count(unique_key) AS total_complaints,
-               avg(median_income) AS avg_income_of_reporters
-        FROM base JOIN hot_types USING (complaint_type) GROUP BY ALL
+    """The hotspot mart spelled out: the busiest hour is looked up by plain equality, so a
+    missing key finds none."""
+    return f""", valued AS (
+        SELECT complaint_type, city, borough, unique_key, median_income,
+               CAST(date_trunc('month', created_date) AS TIMESTAMP) AS created_month,
+               CAST(hour(created_date) AS INTEGER) AS at_hour
+        FROM {source} JOIN income ON zip_code = incident_zip AND median_income > 0
+    ), per_hour AS (
+        SELECT complaint_type AS kind, city AS town, borough AS area, created_month AS month,
+               at_hour, count(*) AS n
+        FROM valued GROUP BY ALL
     ), hotspots AS (
-        SELECT f.*, hour_of_day AS most_common_hour_of_day
-        FROM folded f LEFT JOIN busiest b
-          ON f.complaint_type = b.complaint_type AND f.city = b.city
-         AND f.borough = b.borough AND f.created_month = b.created_month
+        SELECT created_month, complaint_type, city, borough,
+               count(unique_key) AS total_complaints,
+               avg(median_income) AS avg_income_of_reporters,
+               (SELECT at_hour FROM per_hour
+                WHERE kind = complaint_type AND town = city AND area = borough
+                  AND month = created_month
+                ORDER BY n DESC, at_hour LIMIT 1) AS most_common_hour_of_day
+        FROM valued
+        WHERE complaint_type IN (
+            SELECT complaint_type FROM valued GROUP BY complaint_type
+            ORDER BY count(*) DESC, complaint_type NULLS LAST LIMIT {k})
+        GROUP BY created_month, complaint_type, city, borough
     )"""
 
 
@@ -211,8 +211,8 @@ def expected_sql() -> dict[str, str]:
         "ndjson_scan": """SELECT unique_key, bbl, status, city, borough, created_date,
             closed_date, due_date, updated_at FROM silver""",
         "ndjson_quarantine": """SELECT count(*) AS lines,
-            count(CASE WHEN status = 'Pending' THEN 1 END) AS bad_lines,
-            count(CASE WHEN status IN ('Pending', ' closed ') THEN 1 END) AS keyless_lines
+            count(*) FILTER (WHERE status = 'Pending') AS bad_lines,
+            count(*) FILTER (WHERE status IN ('Pending', ' closed ')) AS keyless_lines
             FROM silver""",
         "silver_partitioned_roundtrip": """SELECT unique_key, bbl, status,
             resolution_time_days, "SLA_days", ingest_date FROM silver""",
@@ -269,7 +269,7 @@ def expected_sql() -> dict[str, str]:
             FROM (SELECT zip_code FROM income UNION ALL
                   SELECT zip_code FROM income WHERE median_income > 0)
             GROUP BY zip_code HAVING count(*) > 1 OR zip_code IS NULL""",
-        "dq_summary": """SELECT count(CASE WHEN n > 1 THEN 1 END) AS "unique",
+        "dq_summary": """SELECT count(*) FILTER (WHERE n > 1) AS "unique",
             CAST(0 AS BIGINT) AS not_null, CAST(0 AS BIGINT) AS accepted_values
             FROM (SELECT count(*) AS n FROM silver GROUP BY unique_key)""",
         "agency_efficiency": "SELECT * FROM agency_mart",
@@ -364,7 +364,7 @@ _CHAIN = f""", extracted AS (
     SELECT CAST(date_trunc('month', created_date) AS TIMESTAMP) AS created_month,
            incident_zip AS zip_code, borough, city,
            count(unique_key) AS total_complaints,
-           count(CASE WHEN status = 'closed' THEN 1 END) AS closed_complaints,
+           count(*) FILTER (WHERE status = 'closed') AS closed_complaints,
            CAST(sum(resolution_time_days) AS BIGINT) AS total_resolution_time,
            count(due_date) AS total_due_date,
            CAST(sum("SLA_days") AS BIGINT) AS total_sla_days
