@@ -100,7 +100,7 @@ class Views:
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("unique_key"),
             ship.alias(":updated_at"),
             F.concat_ws(
-                "-", "l_partkey", "l_suppkey", F.round(F.col("l_extendedprice") * 100).cast("bigint")
+                "-", "l_partkey", "l_suppkey", F.rint(F.col("l_extendedprice") * 100).cast("bigint")
             ).alias("bbl"),
             F.to_date(year).alias("ingest_date"),
             year.alias("ingest_timestamp"),

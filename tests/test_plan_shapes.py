@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import os
 import re
 
 import pytest
@@ -12,12 +13,13 @@ from pyspark.sql import functions as F
 
 from civicspark.fixtures import TIE_BREAK, Views
 from civicspark.operators.dedup import latest_per_key
+from civicspark.operators.joins import left_join
 from civicspark.operators.quality import staging_summary
 from civicspark.operators.ranking import top_k
 from civicspark.plans import marts
 from civicspark.plans.staging import since_last_ingest, stage_complaints
 from civicspark.session import INITIAL_PARTITIONS, materialize, shared_dir, size_shuffles
-from civicspark.sinks.tables import append_silver, laid_out, with_layout_column
+from civicspark.sinks.tables import append_silver, laid_out, with_layout_column, write_layout
 from civicspark.sources.extract import after_cursor
 from civicspark.sources.files import file_facts, read_silver, silver_mark
 
@@ -147,3 +149,64 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session)
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    before = {name: spark.conf.get(name.replace("__", "."), None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name.replace("__", "."), value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name.replace("__", "."))
+            else:
+                spark.conf.set(name.replace("__", "."), value)
+
+
+SMALL = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "128k",
+    "spark__sql__adaptive__coalescePartitions__parallelismFirst": "false",
+    INITIAL_PARTITIONS: "16",
+}
+
+
+def hot_rows(spark, rows=60_000):
+    """Rows of which a third share one key; the text keeps them from being compressed away."""
+    return spark.range(rows, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.md5(F.col("id").cast("string")).alias("text"),
+        "id",
+    )
+
+
+def test_a_hot_join_key_is_split(spark):
+    with settings(spark, **SMALL):
+        right = spark.range(60_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+        joined = left_join(hot_rows(spark), right, ["k"])
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in plan(joined, "simple")
+
+
+def test_a_hot_day_is_written_as_several_files(spark, folder):
+    with settings(spark, **SMALL):
+        rows = hot_rows(spark).select(
+            "text",
+            F.col("id").cast("string").alias("borough"),
+            F.lit("t").alias("complaint_type"),
+            F.lit("z").alias("incident_zip"),
+            F.when(F.col("k") == 7, F.lit("2025-01-01"))
+            .otherwise(F.concat(F.lit("2025-02-0"), 1 + F.col("id") % 9))
+            .cast("timestamp")
+            .alias("created_date"),
+        )
+        write_layout(rows, folder)
+    files = {part: len([n for n in os.listdir(f"{folder}/{part}") if n.endswith(".parquet")])
+             for part in os.listdir(folder) if part.startswith("created_part")}
+    assert len(files) == 7
+    assert files["created_part=2025-01-01"] >= 8
+    assert spark.read.parquet(folder).count() == 60_000
