@@ -63,7 +63,7 @@ def main(given: list[str] | None = None) -> None:
         case "test":
             print(jobs.check_staging(spark, lake, args.strict))
         case "snapshot":
-            jobs.take_history(spark, lake, run)
+            jobs.take_history(spark, lake, run, args.full_refresh, args.granularity)
         case "mart":
             show(jobs.publish_marts(spark, lake))
         case "daily":

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from civicspark import schemas
 from civicspark.operators import quality
 from civicspark.operators.dedup import latest_per_key
-from civicspark.operators.history import read_history, take_snapshot
+from civicspark.operators.history import open_path, read_history, take_snapshot
 from civicspark.operators.upsert import merge_into
 from civicspark.plans import marts
 from civicspark.plans.silver import silver_complaints, silver_income
@@ -149,8 +149,14 @@ def check_staging(spark: SparkSession, lake: Lake, strict: bool = False) -> dict
     )
 
 
-def take_history(spark: SparkSession, lake: Lake, run: str) -> None:
-    take_snapshot(spark, lake.history, staged_complaints(spark, lake), KEY, UPDATED, run)
+def take_history(
+    spark: SparkSession, lake: Lake, run: str, full: bool = False, granularity: str = "day"
+) -> None:
+    """Add the staged table's changes to the history.  A merge only changes rows ingested since
+    the last run, so no others are compared; after a rebuild compare in ``full``."""
+    known = read_if_present(spark, open_path(lake.history), schemas.HISTORY)
+    changed = since_last_ingest(staged_complaints(spark, lake), None if full else known)
+    take_snapshot(spark, lake.history, changed, KEY, UPDATED, run, granularity=granularity)
 
 
 def publish_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -187,5 +193,5 @@ def run_daily(
     load_income(spark, lake)
     build_staging(spark, lake, full_refresh, granularity)
     check_staging(spark, lake, strict)
-    take_history(spark, lake, run)
+    take_history(spark, lake, run, full_refresh, granularity)
     return publish_marts(spark, lake)

@@ -509,7 +509,9 @@ def scd2_history(v: Views) -> DataFrame:
 def scd2_stored_history(v: Views) -> DataFrame:
     path = scratch_path(v.spark, "snapshots")
     for run, snapshot in enumerate(_snapshots(v)):
-        history.take_snapshot(v.spark, path, snapshot, KEY, UPDATED, f"run{run}")
+        history.take_snapshot(
+            v.spark, path, snapshot, KEY, UPDATED, f"run{run}", granularity="month"
+        )
     return _version_columns(history.read_history(v.spark, path))
 
 
