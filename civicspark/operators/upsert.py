@@ -72,26 +72,25 @@ def merge_into(
     nothing, so a run that died half-way is simply repeated.  Rows without a key cannot be
     merged and must be set aside before."""
     newest_batch = latest_per_key(batch, key, newest, tie_break)
-    batch_name = stage_table(with_layout_column(newest_batch, instant, granularity), "batch")
-    staged = spark.table(batch_name)
-    target = read_if_present(spark, path, staged.schema)
-    if target is None:
-        laid_out(staged, cluster).write.partitionBy(LAYOUT_COLUMN).parquet(path)
-    else:
-        _rewrite_partitions(spark, path, target, staged, key, newest, newer_only, cluster)
-    drop_staged(spark, batch_name)
+    name = stage_table(with_layout_column(newest_batch, instant, granularity), "batch")
+    merge_stored(spark, path, spark.table(name), key, newest, newer_only, cluster)
+    drop_staged(spark, name)
 
 
-def _rewrite_partitions(
+def merge_stored(
     spark: SparkSession,
     path: str,
-    target: DataFrame,
     batch: DataFrame,
     key: str,
     newest: str,
-    newer_only: bool,
-    cluster: Sequence[str],
+    newer_only: bool = False,
+    cluster: Sequence[str] = CLUSTER_COLUMNS,
 ) -> None:
+    """As ``merge_into`` for a stored batch that holds each key once and has the layout column."""
+    target = read_if_present(spark, path, batch.schema)
+    if target is None:
+        laid_out(batch, cluster).write.partitionBy(LAYOUT_COLUMN).parquet(path)
+        return
     # Only the key and the partition value are read to find the partitions concerned.
     _, replaced = split_matched(target.select(key, LAYOUT_COLUMN), batch, key)
     touched = _partition_values(replaced.select(LAYOUT_COLUMN).union(batch.select(LAYOUT_COLUMN)))
