@@ -216,9 +216,9 @@ def expected_sql() -> dict[str, str]:
             FROM silver""",
         "silver_partitioned_roundtrip": """SELECT unique_key, bbl, status,
             resolution_time_days, "SLA_days", ingest_date FROM silver""",
-        "silver_two_loads": f"""SELECT DISTINCT unique_key, bbl, status, resolution_time_days,
+        "silver_two_loads": f"""SELECT unique_key, bbl, status, resolution_time_days,
             "SLA_days", TIMESTAMP '{RUN_AT:%Y-%m-%d %H:%M:%S}' AS ingest_timestamp,
-            DATE '{RUN_AT:%Y-%m-%d}' AS ingest_date FROM silver""",
+            DATE '{RUN_AT:%Y-%m-%d}' AS ingest_date FROM (SELECT DISTINCT * FROM silver)""",
         "external_table_refresh": """SELECT ingest_date, count(*) AS n_rows,
             CAST(sum("SLA_days") AS BIGINT) AS total_sla_days FROM silver GROUP BY ALL""",
         "extract_since_cursor": f"""SELECT unique_key, bbl, status, created_date, updated_at
@@ -329,8 +329,8 @@ def expected_sql() -> dict[str, str]:
             FROM (SELECT status, date_diff('day', dbt_valid_from,
                       coalesce(dbt_valid_to, TIMESTAMP '{AS_OF}')) AS days FROM history)
             GROUP BY status""",
-        "stream_silver_available_now": """SELECT DISTINCT unique_key, bbl, status, city,
-            resolution_time_days, "SLA_days", updated_at FROM silver""",
+        "stream_silver_available_now": """SELECT unique_key, bbl, status, city,
+            resolution_time_days, "SLA_days", updated_at FROM (SELECT DISTINCT * FROM silver)""",
         "stream_upsert": """SELECT unique_key, bbl, status, city, resolution_time_days,
             "SLA_days", updated_at FROM staged""",
         "daily_chain": _CHAIN,

@@ -49,8 +49,8 @@ def difference(df, folder: str, sql: str) -> str | None:
         return f"schema {sorted(dict(df.dtypes).items())} != {sorted(types.items())}"
     found = by_name(df.columns, df.collect())
     if found != wanted:
-        only = [row for row in found if row not in set(wanted)][:2]
-        lost = [row for row in wanted if row not in set(found)][:2]
+        only = sorted(set(found) - set(wanted), key=repr)[:2]
+        lost = sorted(set(wanted) - set(found), key=repr)[:2]
         return f"{len(found)} rows, expected {len(wanted)}; extra {only}; missing {lost}"
     return None
 
