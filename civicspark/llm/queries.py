@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicspark.llm import decontaminate
+from civicspark.llm import decontaminate, jaccard_join
 from civicspark.llm.frames import read
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -20,8 +20,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard_join.similar_groups(read(spark, sf_dir, "documents"), shingle=4, percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontamination,)}
+    return {f.__name__: f for f in (op3_decontamination, op5_jaccard_join)}
 
 
 def _words(text: str, pattern: str, lower: bool) -> str:
@@ -57,5 +62,31 @@ FROM texts LEFT JOIN words USING (doc_id) LEFT JOIN lists USING (doc_id)
 """
 
 
+_OP5 = f"""
+WITH RECURSIVE texts AS (SELECT doc_id, {_words("text", _SPACED, True)} AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS gram
+    FROM texts, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS t(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    FROM shingles AS a JOIN shingles AS b ON a.gram = b.gram AND a.doc_id != b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT x, y FROM shared JOIN sizes AS a ON a.doc_id = x JOIN sizes AS b ON b.doc_id = y
+    WHERE 100 * both >= 85 * (a.n + b.n - both)
+),
+reach AS (
+    SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+),
+lowest AS (SELECT x AS doc_id, min(y) AS other FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles,
+    least(doc_id, coalesce(other, doc_id)) AS component_id
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": _OP3}
+    return {"op3_decontamination": _OP3, "op5_jaccard_join": _OP5}
