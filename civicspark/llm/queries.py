@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicspark.llm import decontaminate, jaccard_join
+from civicspark.llm import decontaminate, jaccard_join, substring_dedup
 from civicspark.llm.frames import read
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -20,13 +20,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(read(spark, sf_dir, "documents"), texts=False)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = jaccard_join.similar_groups(read(spark, sf_dir, "documents"), shingle=4, percent=85)
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontamination, op5_jaccard_join)}
+    return {f.__name__: f for f in (op3_decontamination, op4_substring_dedup, op5_jaccard_join)}
 
 
 def _words(text: str, pattern: str, lower: bool) -> str:
@@ -47,8 +51,8 @@ runs AS (
 ),
 hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM runs JOIN windows USING (n, gram)),
 words AS (
-    SELECT doc_id, count(DISTINCT at) AS n_hit
-    FROM hits, unnest(range(i, i + n)) AS t(at) GROUP BY doc_id
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM hits, unnest(range(i, i + n)) AS t(place) GROUP BY doc_id
 ),
 lists AS (
     SELECT doc_id, count(DISTINCT item_id) AS n_items,
@@ -62,6 +66,31 @@ FROM texts LEFT JOIN words USING (doc_id) LEFT JOIN lists USING (doc_id)
 """
 
 
+_OP4 = f"""
+WITH texts AS (SELECT doc_id, {_words("text", _SPACED, False)} AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS gram
+    FROM texts, unnest(range(1, len(w) - 11)) AS t(i)
+),
+firsts AS (SELECT gram, min(doc_id) AS first_doc FROM windows GROUP BY gram),
+gone AS (
+    SELECT DISTINCT doc_id, place
+    FROM windows JOIN firsts USING (gram), unnest(range(i, i + 13)) AS t(place)
+    WHERE first_doc < doc_id
+),
+lists AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, len(w) AS n, coalesce(len(places), 0) AS n_gone,
+        CASE WHEN places IS NULL THEN w ELSE list_transform(
+            list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(places, k)), lambda k: w[k]
+        ) END AS stay
+    FROM texts LEFT JOIN lists USING (doc_id)
+)
+SELECT doc_id, n::BIGINT AS n_words, n_gone::BIGINT AS n_removed,
+    sha256(array_to_string(stay, ' ')) AS kept_sha256
+FROM kept
+"""
+
 _OP5 = f"""
 WITH RECURSIVE texts AS (SELECT doc_id, {_words("text", _SPACED, True)} AS w FROM documents),
 shingles AS (
@@ -70,13 +99,13 @@ shingles AS (
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
     FROM shingles AS a JOIN shingles AS b ON a.gram = b.gram AND a.doc_id != b.doc_id
     GROUP BY a.doc_id, b.doc_id
 ),
 links AS (
     SELECT x, y FROM shared JOIN sizes AS a ON a.doc_id = x JOIN sizes AS b ON b.doc_id = y
-    WHERE 100 * both >= 85 * (a.n + b.n - both)
+    WHERE 100 * n_both >= 85 * (a.n + b.n - n_both)
 ),
 reach AS (
     SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
@@ -89,4 +118,8 @@ FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": _OP3, "op5_jaccard_join": _OP5}
+    return {
+        "op3_decontamination": _OP3,
+        "op4_substring_dedup": _OP4,
+        "op5_jaccard_join": _OP5,
+    }
