@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from civicspark.llm import decontaminate, jaccard_join, substring_dedup
+from civicspark.llm import decontaminate, exact_topk, jaccard_join, language_id, substring_dedup
 from civicspark.llm.frames import read
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -29,8 +30,23 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(read(spark, sf_dir, "documents"))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_decontamination, op4_substring_dedup, op5_jaccard_join)}
+    found = (
+        op3_decontamination,
+        op4_substring_dedup,
+        op5_jaccard_join,
+        op6_language_id,
+        op8_exact_topk,
+    )
+    return {f.__name__: f for f in found}
 
 
 def _words(text: str, pattern: str, lower: bool) -> str:
@@ -117,9 +133,27 @@ FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """
 
 
+_OP8 = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM usable AS q JOIN usable AS c ON q.vec_id != c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": _OP3,
         "op4_substring_dedup": _OP4,
         "op5_jaccard_join": _OP5,
+        "op8_exact_topk": _OP8,
     }
