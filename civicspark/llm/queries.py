@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicspark.llm import decontaminate, exact_topk, jaccard_join, language_id, substring_dedup
+from civicspark.llm import (
+    decontaminate,
+    exact_topk,
+    jaccard_join,
+    language_id,
+    substring_dedup,
+    toxicity,
+)
 from civicspark.llm.frames import read
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -34,6 +41,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predictions(read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -44,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_substring_dedup,
         op5_jaccard_join,
         op6_language_id,
+        op7_toxicity,
         op8_exact_topk,
     )
     return {f.__name__: f for f in found}
