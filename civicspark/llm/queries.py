@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from civicspark.llm import (
     decontaminate,
     exact_topk,
+    html_extraction,
     jaccard_join,
     language_id,
     substring_dedup,
@@ -22,6 +23,10 @@ _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SPACED = r"[^\x20\x09-\x0D]+"
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_texts(read(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -51,6 +56,7 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
+        op1_html_extraction,
         op3_decontamination,
         op4_substring_dedup,
         op5_jaccard_join,
