@@ -13,6 +13,7 @@ from civicspark.llm import (
     html_extraction,
     jaccard_join,
     language_id,
+    mixing,
     substring_dedup,
     toxicity,
 )
@@ -54,6 +55,10 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html_extraction,
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_language_id,
         op7_toxicity,
         op8_exact_topk,
+        op9_mixing,
     )
     return {f.__name__: f for f in found}
 
