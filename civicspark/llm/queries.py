@@ -15,6 +15,7 @@ from civicspark.llm import (
     language_id,
     mixing,
     substring_dedup,
+    surrogates,
     toxicity,
 )
 from civicspark.llm.frames import read
@@ -59,6 +60,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(read(spark, sf_dir, "documents"))
 
 
+#: A production run takes its key from a secret store.
+_SURROGATE_KEY = "test tables"
+
+
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymised(read(spark, sf_dir, "documents"), _SURROGATE_KEY)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html_extraction,
@@ -69,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_toxicity,
         op8_exact_topk,
         op9_mixing,
+        op10_surrogates,
     )
     return {f.__name__: f for f in found}
 
