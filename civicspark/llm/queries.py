@@ -13,6 +13,7 @@ from civicspark.llm import (
     html_extraction,
     jaccard_join,
     language_id,
+    lm_score,
     mixing,
     substring_dedup,
     surrogates,
@@ -29,6 +30,14 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.main_texts(read(spark, sf_dir, "pages"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.scores(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", F.round("log_score", 3).alias("log_score"),
+        F.round("word_score", 5).alias("word_score"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
@@ -71,6 +80,7 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html_extraction,
+        op2_lm_score,
         op3_decontamination,
         op4_substring_dedup,
         op5_jaccard_join,
@@ -88,6 +98,47 @@ def _words(text: str, pattern: str, lower: bool) -> str:
     return f"coalesce(regexp_extract_all({text}, '{pattern}'), [])"
 
 
+_OP2 = f"""
+WITH texts AS (SELECT doc_id, {_words("text", _ALNUM, True)} AS w FROM documents),
+sizes AS (SELECT sum(len(w)) AS n FROM texts),
+places AS (
+    SELECT doc_id, len(w) AS own, i, w[i] AS g1, w[i - 1] AS h1,
+        CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS g2,
+        CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] END AS h2,
+        CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS g3
+    FROM texts, unnest(range(1, len(w) + 1)) AS t(i)
+),
+c1 AS (SELECT g1 AS g, count(*) AS c FROM places GROUP BY g1),
+c2 AS (SELECT g2 AS g, count(*) AS c FROM places WHERE i > 1 GROUP BY g2),
+c3 AS (SELECT g3 AS g, count(*) AS c FROM places WHERE i > 2 GROUP BY g3),
+d1 AS (SELECT doc_id, g1 AS g, count(*) AS c FROM places GROUP BY ALL),
+d2 AS (SELECT doc_id, g2 AS g, count(*) AS c FROM places WHERE i > 1 GROUP BY ALL),
+d3 AS (SELECT doc_id, g3 AS g, count(*) AS c FROM places WHERE i > 2 GROUP BY ALL),
+counted AS (
+    SELECT p.doc_id, n - own AS others, c1.c - d1.c AS k1, c2.c - d2.c AS k2, c3.c - d3.c AS k3,
+        x1.c - y1.c AS m1, x2.c - y2.c AS m2
+    FROM places AS p CROSS JOIN sizes
+    JOIN c1 ON c1.g = g1 JOIN d1 ON d1.doc_id = p.doc_id AND d1.g = g1
+    LEFT JOIN c2 ON c2.g = g2 LEFT JOIN d2 ON d2.doc_id = p.doc_id AND d2.g = g2
+    LEFT JOIN c3 ON c3.g = g3 LEFT JOIN d3 ON d3.doc_id = p.doc_id AND d3.g = g3
+    LEFT JOIN c1 AS x1 ON x1.g = h1 LEFT JOIN d1 AS y1 ON y1.doc_id = p.doc_id AND y1.g = h1
+    LEFT JOIN c2 AS x2 ON x2.g = h2 LEFT JOIN d2 AS y2 ON y2.doc_id = p.doc_id AND y2.g = h2
+),
+scored AS (
+    SELECT doc_id, CASE
+        WHEN k3 > 0 THEN ln(k3) - ln(m2)
+        WHEN k2 > 0 THEN ln(k2) - ln(m1) + CASE WHEN k3 IS NULL THEN 0 ELSE ln(0.4) END
+        ELSE CASE WHEN k1 > 0 THEN ln(k1) - ln(others) ELSE -ln(others + 1) END
+            + CASE WHEN k2 IS NULL THEN 0 WHEN k3 IS NULL THEN ln(0.4) ELSE 2 * ln(0.4) END
+        END AS s
+    FROM counted
+),
+summed AS (SELECT doc_id, sum(s) AS s FROM scored GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(s, 0), 3) AS log_score,
+    round(s / len(w), 5) AS word_score
+FROM texts LEFT JOIN summed USING (doc_id)
+"""
+
 _OP3 = f"""
 WITH texts AS (SELECT doc_id, {_words("text", _ALNUM, True)} AS w FROM documents),
 items AS (SELECT DISTINCT item_id, {_words("text", _ALNUM, True)} AS w FROM benchmark),
@@ -186,6 +237,7 @@ SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_lm_score": _OP2,
         "op3_decontamination": _OP3,
         "op4_substring_dedup": _OP4,
         "op5_jaccard_join": _OP5,
