@@ -9,10 +9,13 @@
    also bounds the overlap of a pair, which must still reach the threshold.
 4. Pairs are verified on the whole sets.
 
-Lists of B tokens are not paired out.  In each round only the first members of a list (those with
-the fewest tokens of their own) are compared with the members that are still in another component;
-their number grows eightfold until it exceeds every list that still has several components.  Links
-between two members of one component are not needed, and no other pair is left out.
+Lists of B tokens are not paired out, or a group of near copies would cost the square of its
+size.  Every class is first compared with a centre, the member that most others meet in their lists.
+Classes with one centre are then compared by their few differences from it, and share some of the
+rarest of those if they are similar (``_links_by_difference``).  What is left are pairs of different
+centres: in each round the first members of a list that do not have its usual centre are compared
+with those of other centres and components; their number grows eightfold until it exceeds every
+list.  Links between two members of one component are not needed, and no other pair is left out.
 
 Tokens travel packed, many to a row, to buckets of bounded size (``packed``); each bucket gets a
 token at most once per class and block of text.  Sets are identified by a 64-bit hash of their
@@ -50,7 +53,7 @@ from civicspark.llm.tokens import SPACED, gram_hashes, mix, slices, words
 EXTRA = 0.15
 #: Members of a list that are compared with the others in the first round; eight times more in
 #: each further round.
-PIVOTS = 1
+PIVOTS = 8
 
 _ROW = "bucket int, payload binary"
 
@@ -327,37 +330,192 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(check, "x long, y long")
 
 
+def _differences(lists: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
+    """``x, p, n, np, o, gone, extra`` of every class ``x`` that has a centre ``p``: the sizes, the
+    overlap, and the tokens that only ``p`` and only ``x`` has.
+
+    The leader of a list is its member with the fewest tokens of its own; the centre of a class is the
+    leader that most classes meet.  Centres that share less than half with the class do not help."""
+    leaders = members.groupBy("token").agg(F.min(F.struct("own", "set_key")).alias("lead"))
+    met = (
+        members.join(leaders, "token")
+        .select(F.col("set_key").alias("x"), F.col("lead.set_key").alias("p"))
+        .distinct()
+    )
+    met = cut(met)
+    fame = met.groupBy("p").agg(F.count("*").alias("fame"))
+    centres = (
+        met.filter("x != p")
+        .join(fame, "p")
+        .groupBy("x")
+        .agg(F.max(F.struct("fame", "p")).alias("best"))
+        .select("x", F.col("best.p").alias("p"))
+    )
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("set_key").alias(name), F.col("tokens").alias(f"{name}_tokens"))
+
+    def compare(batches):
+        for batch in batches:
+            columns: dict[str, list] = {c: [] for c in ("n", "np", "o", "gone", "extra")}
+            useful = []
+            for one, two in zip(batch.column("x_tokens"), batch.column("p_tokens"), strict=True):
+                a = np.frombuffer(one.as_buffer(), np.uint64)
+                b = np.frombuffer(two.as_buffer(), np.uint64)
+                extra = np.setdiff1d(a, b, assume_unique=True).view(np.int64)
+                both = len(a) - len(extra)
+                useful.append(2 * both >= max(len(a), len(b)))
+                gone = np.setdiff1d(b, a, assume_unique=True).view(np.int64) if useful[-1] else []
+                columns["n"].append(len(a))
+                columns["np"].append(len(b))
+                columns["o"].append(both)
+                columns["gone"].append(gone)
+                columns["extra"].append(extra if useful[-1] else [])
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
+            arrays = [pa.array(v, k) for v, k in zip(columns.values(), kinds, strict=True)]
+            row = pa.RecordBatch.from_arrays(
+                [batch.column("x"), batch.column("p"), *arrays], ["x", "p", *columns]
+            )
+            yield row.filter(pa.array(useful, pa.bool_()))
+
+    return (
+        centres.join(side("x"), "x")
+        .join(side("p"), "p")
+        .mapInArrow(
+            compare,
+            "x long, p long, n long, np long, o long, gone array<long>, extra array<long>",
+        )
+    )
+
+
+def _links_by_difference(differences: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """``x, y``: the links between classes of one centre p that are in different components.
+
+    The overlap of x and y is o(x) + o(y) - |p| + s, where s counts the tokens of p that both lack
+    and those outside p that both have.  With ``excess(x) = t n - (100 + t) o + t |p|``, above 0 for
+    a class without a link to p, and ``far(y) = t n - (100 + t) o + 100 |p|``, they are linked when
+    (100 + t) s >= excess(x) + far(y).  One of the two has no link to p, or both were in p's
+    component.  So s of any partner is at least excess(x) / 100, and at least
+    (far(y) + smallest excess) / (100 + t): prefix lengths for the differences, rarest first."""
+    t = percent
+    placed = (
+        differences.join(comps.withColumnRenamed("node", "x"), "x", "left")
+        .withColumn("comp", F.coalesce("comp", "x"))
+        .withColumn("excess", F.expr(f"{t} * n - {100 + t} * o + {t} * np"))
+        .withColumn("far", F.expr(f"{t} * n - {100 + t} * o + 100 * np"))
+        .withColumn("d", F.expr("size(gone) + size(extra)"))
+    )
+    alone = placed.filter("excess > 0").groupBy("p").agg(F.min("excess").alias("least"))
+    placed = (
+        placed.join(alone, "p")
+        .withColumn("must", F.expr(f"ceil((far + least) / {100 + t})"))
+        .withColumn(
+            "must",
+            F.when(F.col("excess") > 0, F.least("must", F.ceil(F.col("excess") / 100))).otherwise(
+                F.col("must")
+            ),
+        )
+        .withColumn("take", F.expr("d - greatest(must, 1L) + 1"))
+        .filter("take > 0")
+    )
+    placed = cut(placed)
+    tokens = placed.select(
+        "x", "p", "n", "o", "comp", "excess", "far", "take",
+        F.size("gone").alias("r"), F.size("extra").alias("a"),
+        F.explode(
+            F.concat(
+                F.transform("gone", lambda v: F.struct(v.alias("token"), F.lit(0).alias("side"))),
+                F.transform("extra", lambda v: F.struct(v.alias("token"), F.lit(1).alias("side"))),
+            )
+        ).alias("part"),
+    ).select("*", "part.token", "part.side").drop("part")
+    counts = tokens.groupBy("p", "token", "side").agg(F.count("*").alias("many"))
+    rarest = Window.partitionBy("x").orderBy("many", "side", "token")
+    kept = (
+        tokens.join(counts, ["p", "token", "side"])
+        .withColumn("rank", F.row_number().over(rarest))
+        .filter("rank <= take AND many > 1")
+    )
+    kept = cut(kept)
+    pairs = (
+        kept.filter("excess > 0")
+        .alias("u")
+        .join(
+            kept.alias("v"),
+            F.expr(
+                "u.p = v.p AND u.token = v.token AND u.side = v.side AND u.comp != v.comp "
+                "AND (v.excess <= 0 OR u.x < v.x) "
+                f"AND {100 + t} * (least(u.r, v.r) + least(u.a, v.a)) >= u.excess + v.far"
+            ),
+        )
+        .select(F.col("u.x").alias("x"), F.col("v.x").alias("y"))
+        .distinct()
+    )
+    half = placed.select("x", "excess", "far", "gone", "extra")
+    one = half.select(*(F.col(c).alias(f"one_{c}") for c in half.columns))
+    two = half.select(*(F.col(c).alias(f"two_{c}") for c in half.columns))
+    shared = F.size(F.array_intersect("one_gone", "two_gone")) + F.size(
+        F.array_intersect("one_extra", "two_extra")
+    )
+    return (
+        pairs.join(one, F.col("x") == F.col("one_x"))
+        .join(two, F.col("y") == F.col("two_x"))
+        .filter((100 + t) * shared >= F.col("one_excess") + F.col("two_far"))
+        .select("x", "y")
+    )
+
+
 def _links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``set_key, comp`` of the classes that have a link."""
-    spark = lists.sparkSession
+    """``node, comp`` of the classes that have a link."""
     members = lists.select("set_key", "n", "own", F.explode("b").alias("token"))
-    comps = spark.createDataFrame([], "node long, comp long")
-    tested = spark.createDataFrame([], "x long, y long")
+    differences = cut(_differences(lists, sets, members))
+    near = differences.filter(F.expr(f"100 * o >= {percent} * (n + np - o)"))
+    comps = components(near.select("x", F.col("p").alias("y")))
+    found = cut(_links_by_difference(differences, comps, percent))
+    comps = components(found.unionByName(comps.toDF("x", "y")))
+
+    centres = differences.select(F.col("x").alias("set_key"), F.col("p").alias("centre"))
+    members = cut(
+        members.join(centres, "set_key", "left").withColumn(
+            "centre", F.coalesce("centre", "set_key")
+        )
+    )
+    tested = differences.select(F.least("x", "p").alias("x"), F.greatest("x", "p").alias("y"))
     orders = lists.select("set_key", "c")
     pivots = PIVOTS
     while True:
         placed = members.join(
             comps.withColumnRenamed("node", "set_key"), "set_key", "left"
         ).withColumn("comp", F.coalesce("comp", "set_key"))
-        open_lists = (
-            placed.groupBy("token")
-            .agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("size"))
-            .filter("a != b")
-            .select("token", "size")
+        mostly = (
+            placed.groupBy("token", "centre")
+            .agg(F.count("*").alias("many"), F.min("comp").alias("a"), F.max("comp").alias("b"))
+            .groupBy("token")
+            .agg(
+                F.max(F.struct("many", "centre")).alias("top"),
+                F.sum("many").alias("size"),
+                F.min("a").alias("a"),
+                F.max("b").alias("b"),
+            )
+            .filter("a != b AND size > top.many")
+            .select("token", F.col("top.centre").alias("usual"), F.expr("size - top.many AS others"))
         )
-        placed = cut(placed.join(open_lists, "token"))
-        longest = placed.agg(F.max("size")).first()[0]
-        if longest is None:
+        placed = cut(placed.join(mostly, "token"))
+        most = placed.agg(F.max("others")).first()[0]
+        if most is None:
             return comps
         first = Window.partitionBy("token").orderBy("own", "set_key")
         leaders = (
-            placed.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= pivots)
+            placed.filter("centre != usual")
+            .withColumn("rank", F.row_number().over(first))
+            .filter(F.col("rank") <= pivots)
         )
         pairs = (
             leaders.alias("p")
             .join(
                 placed.alias("m"),
-                F.expr("p.token = m.token AND p.comp != m.comp") & _possible(percent),
+                F.expr("p.token = m.token AND p.comp != m.comp AND p.centre != m.centre")
+                & _possible(percent),
             )
             .select(
                 F.least("p.set_key", "m.set_key").alias("x"),
@@ -371,9 +529,8 @@ def _links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pairs = cut(pairs.filter(F.arrays_overlap("x_c", "y_c")).select("x", "y"))
         links = cut(_verified(pairs, sets, percent))
         tested = tested.unionByName(pairs)
-        joined = comps.select(F.col("node").alias("x"), F.col("comp").alias("y"))
-        comps = components(links.unionByName(joined))
-        if longest <= pivots:
+        comps = components(links.unionByName(comps.toDF("x", "y")))
+        if most <= pivots:
             return comps
         pivots *= 8
 
