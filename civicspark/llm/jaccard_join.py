@@ -570,12 +570,25 @@ def similar_groups(
 def one_of_each(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``documents``, all columns, one of each group of similar texts: the one with the
     smallest doc_id (null after all others).  Texts without words all stay."""
-    key, = fresh(documents, "set_key")
-    groups = similar_groups(documents, shingle, percent).filter("set_key IS NOT NULL")
-    kept = groups.groupBy("comp").agg(
+    (key,) = fresh(documents, "set_key")
+    groups = cut(
+        similar_groups(documents, shingle, percent)
+        .filter("set_key IS NOT NULL")
+        .select("doc_id", "set_key", "comp")
+    )
+    first = groups.groupBy("comp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_key")).alias("row")
     )
-    kept = kept.select(F.col("row.doc_id").alias("kept_id"), F.col("row.set_key").alias("kept_key"))
+    kept = first.select(
+        F.col("row.doc_id").alias("kept_id"), F.col("row.set_key").alias("kept_key")
+    )
+    same_row = groups["doc_id"].eqNullSafe(F.col("kept_id")) & (groups["set_key"] == F.col("kept_key"))
+    repeated = (
+        groups.join(kept, same_row, "left_semi")
+        .groupBy("doc_id", "set_key")
+        .count()
+        .filter("count > 1")
+    )
     schema = documents.select("*", F.lit(None).cast("long").alias(key)).schema
 
     def keyed(batches):
@@ -585,13 +598,12 @@ def one_of_each(documents: DataFrame, shingle: int = 5, percent: int = 80) -> Da
 
     rows = documents.mapInArrow(keyed, schema)
     columns = [named(c) for c in documents.columns]
-    with_words = (
-        rows.join(
-            kept,
-            rows["doc_id"].eqNullSafe(F.col("kept_id")) & (rows[key] == F.col("kept_key")),
-            "left_semi",
-        )
-        .dropDuplicates(["doc_id", key])
-        .select(*columns)
+    found = rows.join(
+        kept, rows["doc_id"].eqNullSafe(F.col("kept_id")) & (rows[key] == F.col("kept_key")), "left"
+    ).filter(rows[key].isNull() | F.col("kept_key").isNotNull())
+    if repeated.isEmpty():
+        return found.select(*columns)
+    with_words = found.filter(F.col("kept_key").isNotNull()).dropDuplicates(["kept_id", "kept_key"])
+    return with_words.select(*columns).unionByName(
+        found.filter(F.col("kept_key").isNull()).select(*columns)
     )
-    return with_words.unionByName(rows.filter(rows[key].isNull()).select(*columns))

@@ -70,11 +70,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: A production run takes its key from a secret store.
-_SURROGATE_KEY = "test tables"
+SURROGATE_KEY = "test tables"
 
 
 def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.pseudonymised(read(spark, sf_dir, "documents"), _SURROGATE_KEY)
+    return surrogates.pseudonymised(read(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
