@@ -46,6 +46,7 @@ from civicspark.llm.packed import (
     pack,
     run_starts,
     text_size,
+    unpack,
 )
 from civicspark.llm.tokens import SPACED, gram_hashes, mix, slices, words
 
@@ -146,9 +147,8 @@ def _set_rows(documents: DataFrame, shingle: int) -> DataFrame:
     return documents.mapInArrow(sets, f"doc_id {kind}, n_shingles long, set_key long")
 
 
-def _distinct(payloads) -> list[np.ndarray]:
-    """Entries of a bucket, sorted by token and class, without repeats."""
-    columns = merged(payloads)
+def _distinct(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Entries of a bucket (token, class, ...), sorted by both, without repeats."""
     order = np.lexsort((columns[1], columns[0]))
     token, key = columns[0][order], columns[1][order]
     new = np.ones(len(token), bool)
@@ -171,18 +171,36 @@ def _survivors(documents: DataFrame, shingle: int, percent: int, size: int) -> D
     buckets = bucket_count(size / 6 * (1 - percent / 100 + EXTRA))
     groups = bucket_count(size / 2000)
 
+    parts = pa.struct([("tokens", pa.binary()), ("classes", pa.binary())])
+
     def prefixes(batches):
         for _, found in _blocks(batches, "text", shingle):
             take = np.arange(len(found.tokens)) - found.first[found.owner] < _prefix_size(
                 found.sizes, percent)[found.owner]
-            owner = found.owner[take]
-            yield _bucket_rows(
-                found.tokens[take], buckets, found.keys[owner], found.sizes[owner].astype(np.int32)
+            owner, tokens = found.owner[take], found.tokens[take]
+            numbers, payloads = [], []
+            for number, at in by_bucket(tokens, buckets):
+                # each class once, and its place in that list with every token
+                own, place = np.unique(owner[at], return_inverse=True)
+                classes = pack(found.keys[own], found.sizes[own].astype(np.int32))
+                payloads.append(
+                    {"tokens": pack(tokens[at], place.ravel().astype(np.uint32)), "classes": classes}
+                )
+                numbers.append(number)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers, pa.int32()), pa.array(payloads, parts)], ["bucket", "payload"]
             )
 
     def shared(table: pa.Table) -> pa.Table:
-        token, key, n = _distinct(table.column("payload").to_pylist())
-        key, n = key[(more := _counts(token) > 1)], n[more]
+        columns: list[list[np.ndarray]] = [[], [], []]
+        for payload in table.column("payload").to_pylist():
+            token, place = unpack(payload["tokens"])
+            for column, own in zip(columns[1:], unpack(payload["classes"]), strict=True):
+                column.append(own[place])
+            columns[0].append(token)
+        token, key, n = _distinct([np.concatenate(c) for c in columns])
+        more = _counts(token) > 1
+        key, n = key[more], n[more]
         unique, at, count = np.unique(key, return_index=True, return_counts=True)
         numbers, payloads = [], []
         for number, part in by_bucket(_spread(unique), groups):
@@ -201,7 +219,7 @@ def _survivors(documents: DataFrame, shingle: int, percent: int, size: int) -> D
 
     return (
         documents.select("text")
-        .mapInArrow(prefixes, _ROW)
+        .mapInArrow(prefixes, "bucket int, payload struct<tokens: binary, classes: binary>")
         .groupBy("bucket")
         .applyInArrow(shared, _ROW)
         .groupBy("bucket")
@@ -254,7 +272,7 @@ def _lists(sets: DataFrame, percent: int) -> DataFrame:
             )
 
     def shared(table: pa.Table) -> pa.Table:
-        token, key, n = _distinct(table.column("payload").to_pylist())
+        token, key, n = _distinct(merged(table.column("payload").to_pylist()))
         count = _counts(token)
         more = count > 1
         token, key, n, count = token[more], key[more], n[more], count[more]
