@@ -7,8 +7,8 @@ from datetime import datetime, timezone
 
 from civicspark import schemas
 from civicspark.plans import jobs
-from civicspark.session import build_session, prepare, size_shuffles
-from civicspark.sources.files import read_complaints
+from civicspark.session import build_session, prepare
+from civicspark.streaming.loads import stream_silver
 
 TASKS = (
     "extract",
@@ -43,18 +43,18 @@ def main(given: list[str] | None = None) -> None:
     spark = prepare(build_session(f"civicspark-{args.task}"))
     lake = jobs.Lake(args.root.rstrip("/"))
     now = datetime.now(timezone.utc)
-    run = now.strftime("%Y%m%dT%H%M%SZ")
-    if not args.task.startswith("extract"):
-        size_shuffles(spark, lake.root)
+    # Runs started in the same second must not share a name.
+    run = now.strftime("%Y%m%dT%H%M%S%fZ")
     match args.task:
         case "extract":
-            source = read_complaints(spark, args.source)
-            fetched = jobs.extract_complaints(spark, lake, source, run, args.first_cursor)
-            print(f"extracted {fetched} rows")
+            counts = jobs.extract_lines(spark, lake, args.source, run, args.first_cursor)
+            print(f"extracted {counts['fetched']} rows, rejected {counts['rejected']} lines")
         case "extract_income":
             jobs.extract_income(spark, lake, args.source)
         case "complaints":
-            jobs.load_silver(spark, lake)
+            stream_silver(
+                spark, lake.bronze_complaints, lake.silver_complaints, lake.silver_checkpoint
+            ).awaitTermination()
         case "median_income":
             jobs.load_income(spark, lake)
         case "staging":
@@ -76,7 +76,7 @@ def main(given: list[str] | None = None) -> None:
 
 def show(tables: dict) -> None:
     for name, table in tables.items():
-        if name.startswith("fct_"):
+        if name.startswith(("fct_", "chart_")):
             print(name)
             table.show()
 

@@ -6,18 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civicspark.operators.dedup import latest_per_key
 from civicspark.operators.joins import split_matched
-from civicspark.session import drop_staged, stage_table
+from civicspark.session import drop_staged, remove_folders, stage_table
 from civicspark.sinks.tables import (
     CLUSTER_COLUMNS,
     LAYOUT_COLUMN,
     laid_out,
     with_layout_column,
+    write_layout,
 )
-from civicspark.sources.files import read_if_present
+from civicspark.sources.files import path_exists, read_if_present
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -72,6 +72,9 @@ def merge_into(
     nothing, so a run that died half-way is simply repeated.  Rows without a key cannot be
     merged and must be set aside before."""
     newest_batch = latest_per_key(batch, key, newest, tie_break)
+    if not path_exists(spark, path):
+        write_layout(newest_batch, path, instant, granularity, cluster)
+        return
     name = stage_table(with_layout_column(newest_batch, instant, granularity), "batch")
     merge_stored(spark, path, spark.table(name), key, newest, newer_only, cluster)
     drop_staged(spark, name)
@@ -110,9 +113,8 @@ def merge_stored(
     )
     # A dynamic overwrite leaves a partition all of whose rows moved away as it was.
     filled = set(_partition_values(merged))
-    for value in touched:
-        if value not in filled:
-            _empty_partition(spark, path, batch.schema, value)
+    emptied = [_partition_folder(path, value) for value in touched if value not in filled]
+    remove_folders(spark, *emptied)
     drop_staged(spark, merged_name)
 
 
@@ -128,8 +130,6 @@ def _in_partitions(values: Sequence):
     return wanted | column.isNull() if len(known) < len(values) else wanted
 
 
-def _empty_partition(spark: SparkSession, path: str, schema: T.StructType, value) -> None:
+def _partition_folder(path: str, value) -> str:
     folder = NULL_PARTITION if value is None else value.isoformat()
-    stored = T.StructType([field for field in schema if field.name != LAYOUT_COLUMN])
-    empty = spark.createDataFrame([], stored)
-    empty.write.mode("overwrite").parquet(f"{path}/{LAYOUT_COLUMN}={folder}")
+    return f"{path}/{LAYOUT_COLUMN}={folder}"

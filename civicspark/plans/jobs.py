@@ -1,18 +1,20 @@
-"""The daily chain: extract, Silver, staging, checks, history, marts."""
+"""The daily chain: extract, Silver, staging, checks, history, marts.
+
+Every step works in a session of its own, with shuffles sized by what it reads."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark import schemas
 from civicspark.operators import quality
 from civicspark.operators.dedup import latest_per_key
-from civicspark.operators.history import open_path, read_history, take_snapshot
+from civicspark.operators.history import read_history, take_snapshot
 from civicspark.operators.upsert import merge_into
-from civicspark.plans import marts
+from civicspark.plans import dashboard, marts
 from civicspark.plans.silver import silver_complaints, silver_income
 from civicspark.plans.staging import (
     KEY,
@@ -22,7 +24,7 @@ from civicspark.plans.staging import (
     stage_complaints,
     stage_income,
 )
-from civicspark.session import prepare, size_shuffles
+from civicspark.session import own_session, prepare, size_shuffles
 from civicspark.sinks.tables import (
     LAYOUT_COLUMN,
     append_silver,
@@ -34,13 +36,15 @@ from civicspark.sinks.tables import (
 from civicspark.sources.extract import incremental_extract
 from civicspark.sources.files import (
     read_complaints,
-    read_if_present,
     read_income,
+    read_lines,
     read_silver,
+    rejected_line,
     silver_mark,
 )
 from civicspark.sources.header_rows import header_rows_to_table
 from civicspark.sources.state import read_state, write_state
+from civicspark.streaming.loads import stream_silver
 
 
 class Lake:
@@ -52,6 +56,11 @@ class Lake:
         self.silver_checkpoint = f"{root}/metadata/checkpoints/silver"
         self.staged_checkpoint = f"{root}/metadata/checkpoints/staged"
         self.bronze_complaints = f"{root}/bronze/complaints"
+        self.rejected = f"{root}/bronze/rejected"
+        self.keyless = f"{root}/staging/keyless"
+        self.staged_mark = f"{root}/metadata/marks/staged"
+        self.history_mark = f"{root}/metadata/marks/history"
+        self.marts = f"{root}/marts"
         self.bronze_income = f"{root}/bronze/median_income"
         self.silver_complaints = f"{root}/silver/complaints"
         self.silver_income = f"{root}/silver/median_income"
@@ -83,6 +92,39 @@ def extract_complaints(
     return fetched
 
 
+def extract_lines(
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    run: str,
+    first_cursor: str = schemas.FIRST_CURSOR,
+    floor: str = schemas.CREATED_FLOOR,
+    compression: str = "none",
+) -> dict[str, int]:
+    """Store the raw JSON lines of ``source`` that are past the cursor, with all their fields, then
+    move the cursor.  Lines that do not parse, or that lack one of the two times the cursor needs,
+    are stored apart, once per run.  Returns the numbers of both."""
+    cursor = read_state(spark, lake.state, first_cursor)
+    lines = read_lines(spark, source)
+    placed = lines.filter(~rejected_line()).select(
+        F.col("`record`.`:updated_at`").alias(":updated_at"),
+        F.col("record.created_date").alias("created_date"),
+        "value",
+    )
+    rows, seen = incremental_extract(placed, cursor, floor)
+    rows.select("value").write.mode("overwrite").text(
+        f"{lake.bronze_complaints}/data_{run}.ndjson", compression=compression
+    )
+    bad, counted = lines.filter(rejected_line()).select("value"), Observation()
+    bad.observe(counted, F.count(F.lit(1)).alias("rejected")).write.mode("overwrite").text(
+        f"{lake.rejected}/run={run}", compression=compression
+    )
+    fetched = seen.get["fetched"]
+    if fetched:
+        write_state(spark, lake.state, seen.get["next_cursor"])
+    return {"fetched": fetched, "rejected": counted.get["rejected"]}
+
+
 def extract_income(spark: SparkSession, lake: Lake, documents: str) -> None:
     """Replace the raw incomes by the rows of header-row JSON documents."""
     overwrite_table(header_rows_to_table(spark, documents), lake.bronze_income)
@@ -90,7 +132,8 @@ def extract_income(spark: SparkSession, lake: Lake, documents: str) -> None:
 
 def load_silver(spark: SparkSession, lake: Lake, at: datetime | None = None) -> None:
     """Append the raw files newer than the last Silver file.  A raw file that lands while this
-    runs can be missed; ``streaming.stream_silver`` has no such window."""
+    runs, or whose time is older, is missed; the daily run uses ``stream_silver``, which has no
+    such window."""
     raw = read_complaints(
         spark, lake.bronze_complaints, silver_mark(spark, lake.silver_complaints)
     )
@@ -107,14 +150,13 @@ def build_staging(
 ) -> DataFrame:
     """Bring the staged tables up to date and return the Silver rows left out for want of a
     key.  An incremental run merges what was ingested since the last one; a full refresh, or a
-    first run, rebuilds the table."""
+    first run, rebuilds the table.
+
+    How far a run has come is stored beside the table, after it, so a run that died is repeated."""
+    spark = own_session(spark)
     silver = read_silver(spark, lake.silver_complaints)
-    target = (
-        None
-        if full_refresh
-        else read_if_present(spark, lake.staged_complaints, schemas.STAGED_COMPLAINT)
-    )
-    fresh = since_last_ingest(silver, target)
+    fresh = since_last_ingest(silver, None if full_refresh else _mark(spark, lake.staged_mark))
+    size_shuffles(spark, fresh)
     keyed = stage_complaints(fresh).filter(F.col(KEY).isNotNull())
     if full_refresh:
         latest = latest_per_key(keyed, KEY, UPDATED)
@@ -124,29 +166,56 @@ def build_staging(
             spark, lake.staged_complaints, keyed, KEY, UPDATED, granularity=granularity
         )
     overwrite_table(stage_income(spark.read.parquet(lake.silver_income)), lake.staged_income)
+    _advance(spark, lake.staged_mark, fresh)
     return keyless(fresh)
 
 
+def _mark(spark: SparkSession, path: str) -> str | None:
+    return read_state(spark, path, "") or None
+
+
+def _advance(spark: SparkSession, path: str, fresh: DataFrame) -> None:
+    """Store the newest ingest date of what was taken; it is read from the folder names alone."""
+    newest = fresh.select(F.max("ingest_date").cast("string")).first()[0]
+    if newest:
+        write_state(spark, path, newest)
+
+
 def staged_complaints(spark: SparkSession, lake: Lake) -> DataFrame:
     stored = spark.read.schema(schemas.STAGED_COMPLAINT).parquet(lake.staged_complaints)
     return stored.drop(LAYOUT_COLUMN)
 
 
-def check_staging(spark: SparkSession, lake: Lake, strict: bool = False) -> dict[str, int]:
-    """Failure counts of the staging checks; raises when one fails.  ``strict`` adds the checks
-    that are off by default: the income table's key, and an income row for every ZIP code."""
+def staging_failures(
+    spark: SparkSession, lake: Lake, left_out: DataFrame | None = None, strict: bool = False
+) -> list[DataFrame]:
+    """Failure counts of the staging checks, as one-row frames.
+
+    ``left_out`` are rows that never reached the staged table for want of a key; malformed lines
+    are among them.  They count as failing, as they would in a table that held them.  ``strict``
+    adds the checks that are off by default: the income table's key, and an income row for
+    every ZIP code."""
     staged = staged_complaints(spark, lake)
     income = spark.read.schema(schemas.STAGED_INCOME).parquet(lake.staged_income)
     failing = {"negative_income": quality.check_negative_income(income)}
+    if left_out is not None:
+        failing["keyless"] = left_out
     if strict:
         failing["income_key"] = quality.check_income_key(income)
         failing["relationships"] = quality.check_relationship(
             staged, "incident_zip", income, "zip_code"
         )
-    return quality.gate(
+    return [
         quality.staging_summary(staged),
         *[rows.agg(F.count("*").alias(name)) for name, rows in failing.items()],
-    )
+    ]
+
+
+def check_staging(
+    spark: SparkSession, lake: Lake, strict: bool = False, left_out: DataFrame | None = None
+) -> dict[str, int]:
+    """The counts of ``staging_failures``; raises when one is not zero."""
+    return quality.gate(*staging_failures(own_session(spark), lake, left_out, strict))
 
 
 def take_history(
@@ -154,13 +223,58 @@ def take_history(
 ) -> None:
     """Add the staged table's changes to the history.  A merge only changes rows ingested since
     the last run, so no others are compared; after a rebuild compare in ``full``."""
-    known = read_if_present(spark, open_path(lake.history), schemas.HISTORY)
-    changed = since_last_ingest(staged_complaints(spark, lake), None if full else known)
+    spark = own_session(spark)
+    staged = staged_complaints(spark, lake)
+    changed = since_last_ingest(staged, None if full else _mark(spark, lake.history_mark))
+    size_shuffles(spark, changed)
     take_snapshot(spark, lake.history, changed, KEY, UPDATED, run, granularity=granularity)
+    done = _mark(spark, lake.staged_mark)
+    if done:
+        write_state(spark, lake.history_mark, done)
+
+
+def build_marts(spark: SparkSession, lake: Lake) -> None:
+    """Rebuild the stored marts from the staged tables, and the charts' tables from the marts.  They
+    outlive the run; until the next one they show the staged tables as of this one."""
+    spark = own_session(spark)
+    staged = staged_complaints(spark, lake)
+    income = spark.read.schema(schemas.STAGED_INCOME).parquet(lake.staged_income)
+    size_shuffles(spark, staged, income)
+    built = {
+        "fct_agency_efficiency": marts.agency_efficiency(staged),
+        "fct_income_resolution": marts.income_resolution(staged, income),
+        "fct_complaint_hotspots": marts.complaint_hotspots(staged, income),
+    }
+    for name, mart in built.items():
+        overwrite_table(mart, f"{lake.marts}/{name}")
+    agency, resolution, hotspots = (spark.read.parquet(f"{lake.marts}/{n}") for n in built)
+    points = dashboard.income_scatter(resolution)
+    charts = {
+        "chart_income_scatter": points,
+        "chart_income_trendline": dashboard.income_trendline(points),
+        "chart_resolution_by_borough": dashboard.avg_resolution_by_borough(agency),
+        "chart_agency_ranking": dashboard.agency_ranking(agency),
+        "chart_types_by_borough": dashboard.types_by_borough(hotspots),
+    }
+    for name, chart in charts.items():
+        overwrite_table(chart, f"{lake.marts}/{name}")
+
+
+MARTS = (
+    "fct_agency_efficiency",
+    "fct_income_resolution",
+    "fct_complaint_hotspots",
+    "chart_income_scatter",
+    "chart_income_trendline",
+    "chart_resolution_by_borough",
+    "chart_agency_ranking",
+    "chart_types_by_borough",
+)
 
 
 def publish_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """The stored tables and the marts as views for SQL."""
+    """Rebuild the marts, and offer them and the stored layers as views of this session."""
+    build_marts(spark, lake)
     staged = staged_complaints(spark, lake)
     income = spark.read.schema(schemas.STAGED_INCOME).parquet(lake.staged_income)
     tables = {
@@ -169,10 +283,8 @@ def publish_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         "stg_complaints": staged,
         "stg_median_income": income,
         "complaints_snapshots": read_history(spark, lake.history, schemas.HISTORY),
-        "fct_agency_efficiency": marts.agency_efficiency(staged),
-        "fct_income_resolution": marts.income_resolution(staged, income),
-        "fct_complaint_hotspots": marts.complaint_hotspots(staged, income),
     }
+    tables |= {name: spark.read.parquet(f"{lake.marts}/{name}") for name in MARTS}
     return {name: register_mart(name, table) for name, table in tables.items()}
 
 
@@ -186,12 +298,19 @@ def run_daily(
     strict: bool = False,
 ) -> dict[str, DataFrame]:
     """Everything after the extract, in order.  History and marts are only touched when the
-    checks pass."""
+    checks pass.
+
+    Raw files are taken by the checkpoint of the load, whatever their times.  Rows without a key
+    are stored under the run's name and fail the checks."""
     prepare(spark)
-    size_shuffles(spark, lake.root)
-    load_silver(spark, lake, at)
+    stream_silver(
+        spark, lake.bronze_complaints, lake.silver_complaints, lake.silver_checkpoint, at=at
+    ).awaitTermination()
     load_income(spark, lake)
-    build_staging(spark, lake, full_refresh, granularity)
-    check_staging(spark, lake, strict)
+    build_staging(spark, lake, full_refresh, granularity).write.mode("overwrite").parquet(
+        f"{lake.keyless}/run={run}"
+    )
+    left_out = spark.read.schema(schemas.SILVER_COMPLAINT).parquet(f"{lake.keyless}/run={run}")
+    check_staging(spark, lake, strict, left_out)
     take_history(spark, lake, run, full_refresh, granularity)
     return publish_marts(spark, lake)

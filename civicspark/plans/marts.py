@@ -12,7 +12,6 @@ from civicspark import functions as fn
 from civicspark.operators.joins import keep_keys, with_income
 from civicspark.operators.ranking import most_frequent, top_k
 from civicspark.plans.staging import positive_income
-from civicspark.session import materialize
 
 PLACE_MONTH = ["complaint_type", "city", "borough", "created_month"]
 
@@ -86,9 +85,9 @@ def complaint_hotspots(staged: DataFrame, income: DataFrame, k: int = 5) -> Data
     per month and place.  Where city, borough or month is missing the hour is too, as a join on
     those columns would have it.
 
-    The folded counts are written once to the shared folder, because both the choice of the
-    types and the result need them."""
-    monthly = materialize(monthly_profile(hourly_profile(staged, income)), "hotspots")
+    Both the choice of the types and the result read the folded counts; their plans are equal up
+    to there, so Spark scans and shuffles the requests once."""
+    monthly = monthly_profile(hourly_profile(staged, income))
     types = top_k(monthly, "complaint_type", k, weight=F.col("n"))
     placed = F.col("city").isNotNull() & F.col("borough").isNotNull()
     dated = F.col("created_month").isNotNull()

@@ -32,11 +32,14 @@ def staged_latest(silver: DataFrame, tie_break: Sequence[str] | None = None) ->
     return latest_per_key(stage_complaints(silver), KEY, UPDATED, tie_break)
 
 
-def since_last_ingest(silver: DataFrame, staged: DataFrame | None) -> DataFrame:
-    """Silver rows ingested on or after the staged table's newest ingest date; all of them when
-    the staged table is missing or empty.  The comparison prunes whole Silver partitions."""
+def since_last_ingest(silver: DataFrame, staged: DataFrame | str | None) -> DataFrame:
+    """Silver rows ingested on or after the newest ingest date that is staged: that of a table, or
+    the date a run has stored.  All of them when nothing is staged.  The comparison prunes whole
+    Silver partitions; a stored date spares the scan of the staged table."""
     if staged is None:
         return silver
+    if isinstance(staged, str):
+        return silver.filter(F.col("ingest_date") >= F.lit(staged).cast("date"))
     newest = staged.select(F.max("ingest_date")).scalar()
     beginning = F.lit("0001-01-01").cast("date")
     return silver.filter(F.col("ingest_date") >= F.coalesce(newest, beginning))

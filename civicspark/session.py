@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from civicspark.sources.files import file_facts
 
 # Day counts, months and hours depend on the zone, so it is pinned.  The adaptive settings
 # are Spark's defaults, stated because the joins here rely on them to split hot keys.
@@ -20,12 +18,12 @@ RUNTIME_SETTINGS = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-SCRATCH = "civicspark_scratch"
+INHERITED = ("spark.sql.shuffle.partitions",)
 BYTES_PER_REDUCER = 256 * 1024 * 1024
-MAX_REDUCERS = 32_768
 
 _local_folders: dict[str, str] = {}
-_sized: dict[str, dict[tuple[str, ...], int]] = {}
+#: Tables and folders staged by each application, until they are released.
+_staged: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -47,18 +45,36 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> None:
-    """Start shuffles with one reducer per 256 MB of the given files; adaptive execution merges
-    the small ones.  Never goes below the session's own partition count, and leaves an
-    ``initialPartitionNum`` that somebody else set alone."""
-    sized = _sized.setdefault(spark.sparkContext.applicationId, {})
-    if not sized and spark.conf.get(INITIAL_PARTITIONS, None):
-        return
-    if paths not in sized:
-        total = file_facts(spark, list(paths), F.sum("length"))[0] or 0
-        sized[paths] = min(MAX_REDUCERS, -(-total // BYTES_PER_REDUCER))
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL_PARTITIONS, str(max(floor, sized[paths])))
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session of its own over the same context and catalog, so that a step's settings neither
+    meet nor outlive those of its caller."""
+    session = prepare(spark.newSession())
+    for name in INHERITED:
+        value = spark.conf.get(name, None)
+        if value is not None:
+            session.conf.set(name, value)
+    return session
+
+
+def bytes_read(df: DataFrame) -> int:
+    """Bytes of the files that the plan of ``df`` reads, after partition pruning.  Nothing is
+    run, and no folder listed that the plan does not read."""
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.nodeName().startswith("Scan"):
+            files = getattr(leaf, "selectedPartitions", None)
+            total += files().totalFileSize() if files else 0
+    return total
+
+
+def size_shuffles(session: SparkSession, *frames: DataFrame) -> None:
+    """Start the session's shuffles with one reducer per 256 MB of what ``frames`` read; adaptive
+    execution merges the small ones.  Never fewer than the session's own partition count."""
+    needed = -(-sum(map(bytes_read, frames)) // BYTES_PER_REDUCER)
+    floor = int(session.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set(INITIAL_PARTITIONS, str(max(floor, needed)))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -80,7 +96,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/civicspark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/civicspark/{label}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """The database of staged tables; named by its folder, so that a catalog that outlives the
+    session never points to another session's folder."""
+    folder = f"{shared_dir(spark)}/civicspark_scratch"
+    name = f"civicspark_scratch_{hashlib.md5(folder.encode()).hexdigest()[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
+    return name
 
 
 def stage_table(df: DataFrame, label: str) -> str:
@@ -89,19 +116,37 @@ def stage_table(df: DataFrame, label: str) -> str:
     Cuts the lineage and lets several consumers share one pass; unlike a cache it does not
     have to be recomputed when an executor is lost."""
     spark = df.sparkSession
-    spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{shared_dir(spark)}/{SCRATCH}'"
-    )
-    name = f"{SCRATCH}.{label}_{uuid.uuid4().hex}"
+    name = f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex}"
     df.write.saveAsTable(name, format="parquet")
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(name)
     return name
 
 
 def drop_staged(spark: SparkSession, name: str) -> None:
     """Delete a staged table with its files, once nothing reads it any more."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    mine = _staged.get(spark.sparkContext.applicationId, [])
+    if name in mine:
+        mine.remove(name)
+
+
+def remove_folders(spark: SparkSession, *paths: str) -> None:
+    """Delete folders with all they hold, through the file system Spark uses for them."""
+    context = spark.sparkContext
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has staged.  Frames that read it cannot be read again."""
+    for name in list(_staged.pop(spark.sparkContext.applicationId, [])):
+        if "/" in name:
+            remove_folders(spark, name)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """``df`` staged; for results that go on being read."""
+    """``df`` staged; for results that go on being read, until ``release``."""
     return df.sparkSession.table(stage_table(df, label))

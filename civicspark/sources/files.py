@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +11,11 @@ from pyspark.sql import types as T
 from civicspark import schemas
 
 
-def path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system that Spark uses for the path."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
 
 
 def read_complaints(
@@ -29,23 +31,35 @@ def read_complaints(
     return reader.json(path)
 
 
-def read_with_corrupt(spark: SparkSession, path: str) -> DataFrame:
-    """As ``read_complaints`` plus the text of every line that did not parse cleanly.
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line that is not empty (``value``) and what it holds under the declared schema
+    (``record``), with the text of the line if it did not parse cleanly.
 
     Lines are parsed as text: a JSON scan only parses the columns a query uses, and would not
     notice a bad value in another."""
     corrupt = T.StructField(schemas.CORRUPT, T.StringType())
     schema = T.StructType([*schemas.RAW_COMPLAINT.fields, corrupt])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.filter(F.trim("value") != "").select(
+        "value", F.from_json("value", schema, options).alias("record")
+    )
+
+
+def rejected_line() -> Column:
+    """Of ``read_lines``: lines that do not parse cleanly or lack a time the extract needs."""
     return (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path)
-        .filter(F.trim("value") != "")
-        .select(F.from_json("value", schema, options).alias("record"))
-        .select("record.*")
+        F.col(f"record.{schemas.CORRUPT}").isNotNull()
+        | F.col("`record`.`:updated_at`").isNull()
+        | F.col("record.created_date").isNull()
     )
 
 
+def read_with_corrupt(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_complaints`` plus the text of every line that did not parse cleanly."""
+    return read_lines(spark, path).select("record.*")
+
+
 def quarantine_counts(spark: SparkSession, path: str) -> DataFrame:
     """One row: lines read, lines that did not parse cleanly, lines without a key."""
     return read_with_corrupt(spark, path).agg(
@@ -67,28 +81,18 @@ def file_mark(instant: datetime | str) -> str:
 
 def file_facts(spark: SparkSession, paths: str | list[str], *facts: Column) -> Row:
     """Aggregates over the files' names, times and lengths.  The contents are pruned from the
-    scan, and the files are listed by few tasks: by default each would get one per 128 MB."""
-    packing = "spark.sql.files.maxPartitionBytes"
-    usual = spark.conf.get(packing)
-    spark.conf.set(packing, "1024t")
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-        return files.agg(*facts).first()
-    finally:
-        spark.conf.set(packing, usual)
+    scan."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.agg(*facts).first()
 
 
 def silver_mark(spark: SparkSession, path: str) -> datetime | str:
     """Latest modification time of the written files; a fixed mark when the folder does not
     exist or holds no file.  Any other failure is raised, so that it cannot turn into a full
     reload."""
-    try:
-        latest = file_facts(spark, path, F.max("modificationTime"))[0]
-    except AnalysisException as error:
-        if path_missing(error):
-            return schemas.MARK_MISSING
-        raise
-    return latest or schemas.MARK_EMPTY
+    if not path_exists(spark, path):
+        return schemas.MARK_MISSING
+    return file_facts(spark, path, F.max("modificationTime"))[0] or schemas.MARK_EMPTY
 
 
 def read_income(spark: SparkSession, path: str) -> DataFrame:
@@ -98,20 +102,18 @@ def read_income(spark: SparkSession, path: str) -> DataFrame:
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """The partitioned Silver folder; ``ingest_date`` comes from the folder names, so a filter
     on it prunes whole partitions."""
-    return spark.read.schema(schemas.SILVER_COMPLAINT).parquet(path)
+    stored = spark.read.schema(schemas.SILVER_COMPLAINT).parquet(path)
+    return stored.select(*[f"`{name}`" for name in schemas.SILVER_COMPLAINT.names])
 
 
 def read_if_present(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
     """The Parquet table at ``path``, or None when nothing has been written there."""
+    if not path_exists(spark, path):
+        return None
     reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if path_missing(error):
-            return None
-        raise
+    return reader.parquet(path)
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:

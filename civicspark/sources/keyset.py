@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from civicspark.schemas import PAGE_SIZE
+from civicspark.session import stage_table
 
-# Spans, in microseconds, a timestamp is narrowed by: hour, second, millisecond, instant.
-TIME_SPANS = (3_600_000_000, 1_000_000, 1_000, 1)
-PREFIX_STEP = 2
 
-Test = Callable[[Any], Column]
+def _order(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    types = dict(df.dtypes)
+    unfit = [n for n in order if not types[n].startswith("timestamp") and types[n] != "string"]
+    if unfit or not types[order[0]].startswith("timestamp"):
+        raise TypeError(f"cannot slice in the order of {[(n, types[n]) for n in order]}")
+    return [F.col(f"`{name}`") for name in order]
 
 
 def slice_after(
@@ -26,29 +29,48 @@ def slice_after(
     when others are added, as a deep offset would.
 
     Order columns are timestamps or strings, the first one a timestamp; rows without that are
-    in no slice.  Together they must tell rows apart.  Only the rows up to the slice's end, found by counting, are sorted."""
+    in no slice.  Together they must tell rows apart.  Rows are counted per hour, and only those up
+    to the end of the hour in which the slice is full are sorted; that hour is a subquery of the
+    plan, so building the slice runs nothing."""
+    columns = _order(df, order)
     types = dict(df.dtypes)
-    unfit = [n for n in order if not types[n].startswith("timestamp") and types[n] != "string"]
-    if unfit or not types[order[0]].startswith("timestamp"):
-        raise TypeError(f"cannot slice in the order of {[(n, types[n]) for n in order]}")
-    columns = [F.col(f"`{name}`") for name in order]
     rest = df.filter(columns[0].isNotNull())
     if last is not None:
         position = [F.lit(v).cast(types[n]) for n, v in zip(order, last, strict=True)]
         rest = rest.filter(
             (columns[0] >= position[0]) & (F.struct(*columns) > F.struct(*position))
         )
-    within = _within_first(rest, [(c, types[n]) for c, n in zip(columns, order)], size)
-    if within is not None:
-        rest = rest.filter(within)
-    return rest.orderBy(*columns).limit(size)
+    hour = F.date_trunc("hour", columns[0])
+    held = rest.groupBy(hour.alias("hour")).agg(F.count("*").alias("n"))
+    before = Window.orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    reached = held.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    last_hour = reached.filter(F.col("before") < size).select(F.max("hour")).scalar()
+    return rest.filter(hour <= last_hour).orderBy(*columns).limit(size)
+
+
+def number_slices(df: DataFrame, order: Sequence[str], size: int = PAGE_SIZE) -> DataFrame:
+    """All rows with the number of their slice (``page``, from 0), as paging through the table
+    would have them: one sort of the whole, written once, instead of a pass per slice."""
+    columns = _order(df, order)
+    rows = df.filter(columns[0].isNotNull())
+    ranged = rows.repartitionByRange(*columns).withColumn("__range", F.spark_partition_id())
+    stored = df.sparkSession.table(stage_table(ranged, "slices"))
+    counts = stored.groupBy("__range").agg(F.count("*").alias("n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")
+    )
+    rank = F.row_number().over(Window.partitionBy("__range").orderBy(*columns))
+    placed = stored.withColumn("__rank", rank).join(offsets, "__range")
+    page = F.floor((F.col("__before") + F.col("__rank") - 1) / size)
+    return placed.select(*[f"`{c}`" for c in df.columns], page.alias("page"))
 
 
 def walk_slices(
     df: DataFrame, order: Sequence[str], size: int = PAGE_SIZE
 ) -> Iterator[DataFrame]:
     """All slices one after the other.  Only each slice's end reaches the driver.  To take the
-    whole of a large table, filter it by the cursor and write it in one go instead."""
+    whole of a large table, number its slices instead."""
     last = None
     while True:
         page = slice_after(df, order, last, size)
@@ -59,67 +81,3 @@ def walk_slices(
         if count < size:
             return
         last = tuple(end)
-
-
-def _within_first(
-    rows: DataFrame, order: Sequence[tuple[Column, str]], size: int
-) -> Column | None:
-    """A condition true for the first ``size`` rows and at most about as many more; None when
-    there are not more than that anyway.
-
-    Rows are counted per hour; the hour in which the count is reached is then narrowed, to
-    seconds and further, then to prefixes of the next column, until few enough rows are left.
-    A single instant that very many rows share is split that way too.  The driver only sees
-    one count per bucket of the current step."""
-    wanted, before, at = size, F.lit(False), F.lit(True)
-    for column, kind in order:
-        for bucket, below, inside, is_last in _steps(column, kind):
-            counts = rows.filter(at).groupBy(bucket.alias("bucket")).count().orderBy("bucket")
-            passed = 0
-            for value, held in counts.collect():
-                if passed + held >= wanted:
-                    break
-                passed += held
-            else:
-                return None
-            before, at, wanted = before | (at & below(value)), at & inside(value), wanted - passed
-            if held <= size:
-                return before | at
-            if is_last(value):
-                break
-    return before | at
-
-
-def _steps(column: Column, kind: str) -> Iterator[tuple[Column, Test, Test, Callable[[Any], bool]]]:
-    """Ever finer buckets of a column: the bucket, the conditions for lying below and inside
-    one, and whether a bucket holds a single value.  Nulls sort first."""
-    if kind.startswith("timestamp"):
-        micros = F.unix_micros(column.cast("timestamp"))
-        for span in TIME_SPANS:
-            yield (
-                micros - F.pmod(micros, F.lit(span)),
-                lambda start: _below(column, None if start is None else _instant(start)),
-                lambda start, span=span: (
-                    column.isNull()
-                    if start is None
-                    else (column >= _instant(start)) & (column < _instant(start + span))
-                ),
-                lambda start, span=span: start is None or span == 1,
-            )
-    else:
-        for length in itertools.count(PREFIX_STEP, PREFIX_STEP):
-            prefix = F.substring(column, 1, length)
-            yield (
-                prefix,
-                lambda value, prefix=prefix: _below(prefix, value),
-                lambda value, prefix=prefix: prefix.eqNullSafe(F.lit(value)),
-                lambda value, length=length: value is None or len(value) < length,
-            )
-
-
-def _instant(micros: int) -> Column:
-    return F.timestamp_micros(F.lit(micros))
-
-
-def _below(column: Column, value: Any) -> Column:
-    return F.lit(False) if value is None else column.isNull() | (column < value)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from civicspark import functions as fn
 from civicspark import schemas
-from civicspark.fixtures import ATTRIBUTES, TABLES, TIE_BREAK, Views
+from civicspark.fixtures import ATTRIBUTES, TIE_BREAK, Views
 from civicspark.operators import history, quality
 from civicspark.operators.dedup import dedup_exact
 from civicspark.operators.joins import left_join
@@ -33,7 +32,6 @@ from civicspark.session import (
     materialize,
     prepare,
     scratch_path,
-    size_shuffles,
     stage_table,
 )
 from civicspark.sinks.tables import (
@@ -53,7 +51,7 @@ from civicspark.sources.files import (
     register_external,
 )
 from civicspark.sources.header_rows import header_rows_to_table
-from civicspark.sources.keyset import slice_after
+from civicspark.sources.keyset import number_slices, slice_after
 from civicspark.streaming import loads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,7 +88,6 @@ def query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         prepare(spark)
-        size_shuffles(spark, *[f"{folder}/{table}.parquet" for table in TABLES])
         return _zoneless(build(Views(spark, folder)))
 
     _registered[build.__name__] = run
@@ -185,7 +182,6 @@ def silver_two_loads(v: Views) -> DataFrame:
         raw = v.silver().filter(ingested).select(*RAW_NAMES)
         write_ndjson([raw], lake.bronze_complaints, run, "gzip")
         jobs.load_silver(v.spark, lake, RUN_AT)
-        time.sleep(1)  # file times may be kept in whole seconds
     return read_silver(v.spark, lake.silver_complaints).select(
         KEY, "bbl", "status", "resolution_time_days", "SLA_days", "ingest_timestamp", "ingest_date"
     )
@@ -205,6 +201,29 @@ def external_table_refresh(v: Views) -> DataFrame:
     )
 
 
+@query
+def external_table_flat(v: Views) -> DataFrame:
+    """An unpartitioned external table, whose files are replaced after it was declared."""
+    path = scratch_path(v.spark, "external")
+    name = "income_" + path.rsplit("-", 1)[1]
+    overwrite_table(v.income.filter("median_income > 0"), path)
+    register_external(v.spark, name, path)
+    overwrite_table(v.income, path)
+    return refresh_external(v.spark, name)
+
+
+@query
+def bronze_microseconds(v: Views) -> DataFrame:
+    """Versions microseconds apart keep their order through the raw files."""
+    path = scratch_path(v.spark, "bronze")
+    micros = F.make_interval(secs=F.length("bbl") / 1_000_000)
+    raw = v.raw().withColumn(":updated_at", F.col("`:updated_at`") + micros)
+    write_ndjson([raw], path, RUN, "gzip")
+    return read_complaints(v.spark, path).select(
+        KEY, "bbl", F.col("`:updated_at`").alias("updated_at")
+    )
+
+
 # Extract -------------------------------------------------------------------------------
 
 
@@ -240,6 +259,29 @@ def extract_two_runs(v: Views) -> DataFrame:
     )
 
 
+@query
+def extract_all_pages(v: Views) -> DataFrame:
+    rows = v.versions.select(F.col("`:updated_at`").alias("updated_at"), KEY, "bbl")
+    return number_slices(rows, ["updated_at", KEY, "bbl"], 20_000)
+
+
+@query
+def extract_rejected_lines(v: Views) -> DataFrame:
+    """Raw lines extracted; pending requests have their line cut short."""
+    lake = jobs.Lake(scratch_path(v.spark, "lake"))
+    raw = v.raw()
+    line = F.to_json(F.struct(*[f"`{name}`" for name in raw.columns]))
+    cut = F.when(raw.status == "Pending", F.substring(line, F.lit(1), F.length(line) - 1))
+    source = f"{lake.root}/source"
+    raw.select(F.coalesce(cut, line).alias("value")).write.text(source, compression="gzip")
+    jobs.extract_lines(v.spark, lake, source, RUN, CURSOR, FLOOR, "gzip")
+    stored = v.spark.read.option("recursiveFileLookup", "true").text(lake.bronze_complaints)
+    rejected = v.spark.read.text(lake.rejected).agg(F.count("*"))
+    return stored.agg(
+        F.count("*").alias("fetched"), F.first(rejected.scalar()).alias("rejected")
+    )
+
+
 @query
 def pages_union(v: Views) -> DataFrame:
     raw = v.raw()
@@ -288,15 +330,15 @@ def staging_merge_upsert(v: Views) -> DataFrame:
 @query
 def staging_merge_late_batch(v: Views) -> DataFrame:
     """The older rows arrive last: a plain merge lets them replace newer ones."""
-    target = v.staged(ingested=~_early())
-    batch = materialize(stage_complaints(v.silver().filter(_early())), "batch")
+    target = v.staged(*ATTRIBUTES, ingested=~_early())
+    batch = materialize(stage_complaints(v.silver(*ATTRIBUTES).filter(_early())), "batch")
     return merge_upsert(target, batch, KEY, UPDATED, TIE_BREAK)
 
 
 @query
 def staging_merge_newer_only(v: Views) -> DataFrame:
-    target = v.staged(ingested=~_early())
-    batch = materialize(stage_complaints(v.silver().filter(_early())), "batch")
+    target = v.staged(*ATTRIBUTES, ingested=~_early())
+    batch = materialize(stage_complaints(v.silver(*ATTRIBUTES).filter(_early())), "batch")
     return merge_upsert(target, batch, KEY, UPDATED, TIE_BREAK, newer_only=True)
 
 
@@ -305,7 +347,7 @@ def staging_merge_table(v: Views) -> DataFrame:
     """The late batch merged into a stored table, partitioned by creation month."""
     path = scratch_path(v.spark, "staged")
     for ingested in (~_early(), _early()):
-        batch = stage_complaints(v.silver().filter(ingested))
+        batch = stage_complaints(v.silver(*ATTRIBUTES).filter(ingested))
         merge_into(v.spark, path, batch, KEY, UPDATED, TIE_BREAK, granularity="month")
     return v.spark.read.parquet(path).drop(LAYOUT_COLUMN)
 
@@ -385,9 +427,31 @@ def dq_income_key(v: Views) -> DataFrame:
     return quality.check_income_key(union_pages([v.income, positive_income(v.income)]))
 
 
+def _flawed(v: Views) -> DataFrame:
+    """Requests of which some lose their key and some have an unknown status."""
+    staged = stage_complaints(v.silver())
+    return staged.withColumns(
+        {
+            KEY: F.when(F.col("status") != "pending", F.col(KEY)),
+            "status": F.when(F.col("bbl").endswith("9"), "reopened").otherwise(F.col("status")),
+        }
+    )
+
+
 @query
 def dq_summary(v: Views) -> DataFrame:
-    return quality.staging_summary(stage_complaints(v.silver()))
+    return quality.staging_summary(_flawed(v))
+
+
+@query
+def gate_failed_counts(v: Views) -> DataFrame:
+    """What the gate raises on flawed requests."""
+    try:
+        failed = quality.gate(quality.staging_summary(_flawed(v)))
+    except quality.QualityError as error:
+        failed = error.failed
+    counts = [(name, n) for name, n in failed.items() if n]
+    return v.spark.createDataFrame(counts, "failing string, n long")
 
 
 # Marts ---------------------------------------------------------------------------------
@@ -560,11 +624,53 @@ def stream_upsert(v: Views) -> DataFrame:
     )
 
 
-@query
-def daily_chain(v: Views) -> DataFrame:
-    """Extract to marts through every stored layer; the result is the published mart."""
+def _day(v: Views) -> dict[str, DataFrame]:
     lake = jobs.Lake(scratch_path(v.spark, "lake"))
     overwrite_table(v.raw_income, lake.bronze_income)
     jobs.extract_complaints(v.spark, lake, v.raw(*ATTRIBUTES), RUN, FLOOR, FLOOR, "gzip")
-    published = jobs.run_daily(v.spark, lake, RUN, RUN_AT, granularity="month")
-    return published["fct_income_resolution"]
+    return jobs.run_daily(v.spark, lake, RUN, RUN_AT, granularity="month")
+
+
+def _layers(published: dict[str, DataFrame]) -> DataFrame:
+    """Rows and one total of each mart and of the open history."""
+    measures = {
+        "fct_agency_efficiency": F.sum("total_cases"),
+        "fct_income_resolution": F.sum("total_complaints"),
+        "fct_complaint_hotspots": F.sum("total_complaints"),
+        "complaints_snapshots": F.count_if(F.col(schemas.VALID_TO).isNull()),
+    }
+    return union_pages(
+        [
+            published[name].agg(
+                F.lit(name).alias("layer"), F.count("*").alias("n_rows"), total.alias("total")
+            )
+            for name, total in measures.items()
+        ]
+    )
+
+
+@query
+def daily_chain(v: Views) -> DataFrame:
+    """Extract to marts through every stored layer; the result is a published mart."""
+    return _day(v)["fct_income_resolution"]
+
+
+@query
+def daily_chain_layers(v: Views) -> DataFrame:
+    return _layers(_day(v))
+
+
+@query
+def marts_after_second_batch(v: Views) -> DataFrame:
+    """Marts published, a second batch merged, marts published again."""
+    lake = jobs.Lake(scratch_path(v.spark, "lake"))
+    overwrite_table(v.silver_income, lake.silver_income)
+    for run, ingested in enumerate((_early(), ~_early())):
+        append_silver(v.silver(*ATTRIBUTES).filter(ingested), lake.silver_complaints)
+        jobs.build_staging(v.spark, lake, granularity="month")
+        jobs.take_history(v.spark, lake, f"run{run}", granularity="month")
+        published = jobs.publish_marts(v.spark, lake)
+    layers = _layers(published)
+    # of the history only the open versions are compared here
+    history_rows = F.when(F.col("layer") == "complaints_snapshots", F.col("total"))
+    return layers.withColumn("n_rows", F.coalesce(history_rows, F.col("n_rows")))

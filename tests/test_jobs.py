@@ -11,6 +11,7 @@ from civicspark import schemas
 from civicspark.operators.history import read_history
 from civicspark.operators.quality import QualityError
 from civicspark.plans import jobs
+from civicspark.session import INITIAL_PARTITIONS
 from civicspark.sinks.tables import overwrite_table
 from civicspark.streaming.loads import LOAD, stream_silver, stream_upsert
 
@@ -122,9 +123,50 @@ def test_optional_checks(spark, lake):
 
 def test_rows_without_a_key_do_not_reach_the_staged_table(spark, lake):
     rows = DAY_ONE + [(None, "Open", "2025-03-01T08:00:00", "2025-03-01T09:45:00")]
-    run(spark, lake, 1, rows)
+    with pytest.raises(QualityError, match="'keyless': 1"):
+        run(spark, lake, 1, rows)
     assert [k for k, _, _ in staged(spark, lake)] == ["1", "2"]
     assert spark.read.parquet(lake.silver_complaints).filter("unique_key IS NULL").count() == 1
+    assert spark.read.parquet(f"{lake.keyless}/run=run1").count() == 1
+    assert not os.path.exists(lake.history)
+
+
+def test_malformed_lines_are_kept_apart_and_counted(spark, lake, folder):
+    os.makedirs(f"{folder}/api")
+    good = record("1", "Open", "2025-03-01") | {":version": "rv-7"}
+    late = record("2", "Open", "2025-03-01") | {":updated_at": "2025-03-01T00:00:00.000900Z"}
+    with open(f"{folder}/api/page.ndjson", "w") as out:
+        out.write(json.dumps(good) + "\n{bad\n" + json.dumps(late) + "\n\n")
+        out.write(json.dumps(record("3", "Open", "2025-03-01") | {"created_date": "soon"}) + "\n")
+    assert jobs.extract_lines(spark, lake, f"{folder}/api", "one") == {"fetched": 2, "rejected": 2}
+    assert spark.read.text(f"{lake.rejected}/run=one").count() == 2
+    stored = [json.loads(r.value) for r in spark.read.text(f"{lake.bronze_complaints}/*").collect()]
+    assert sorted(r["unique_key"] for r in stored) == ["1", "2"] and good in stored
+    assert jobs.read_state(spark, lake.state) == "2025-03-01T00:00:00.000900Z"
+    assert jobs.extract_lines(spark, lake, f"{folder}/api", "two") == {"fetched": 0, "rejected": 2}
+
+
+def test_a_late_old_file_is_loaded(spark, lake):
+    run(spark, lake, 1, DAY_ONE)
+    lines(lake.bronze_complaints, "late", record("9", "Open", "2025-02-01"), modified=1_000_000_000)
+    jobs.run_daily(spark, lake, "run2", at("2025-03-02T12:00:00"))
+    assert [k for k, _, _ in staged(spark, lake)] == ["1", "2", "9"]
+
+
+def test_marts_outlive_the_run_and_follow_the_next(spark, lake):
+    run(spark, lake, 1, DAY_ONE)
+    for name in jobs.MARTS:
+        assert spark.read.parquet(f"{lake.marts}/{name}").schema
+    _, tables = run(spark, lake, 2, DAY_TWO)
+    stored = spark.read.parquet(f"{lake.marts}/fct_agency_efficiency")
+    assert stored.agg(F.sum("total_cases")).first()[0] == 3
+    assert tables["fct_agency_efficiency"].agg(F.sum("total_cases")).first()[0] == 3
+
+
+def test_steps_leave_the_callers_settings_alone(spark, lake):
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    run(spark, lake, 1, DAY_ONE)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
 
 
 def lines(folder, name, *records, modified=None):
@@ -208,7 +250,7 @@ def test_command_line_steps(spark, lake, folder, capsys):
         main(["--task", task, "--root", folder, *more])
 
     step("extract", "--source", f"{folder}/api")
-    assert "extracted 2 rows" in capsys.readouterr().out
+    assert "extracted 2 rows, rejected 0 lines" in capsys.readouterr().out
     step("extract_income", "--source", f"{folder}/census")
     for task in ("complaints", "median_income", "staging", "test", "snapshot", "mart"):
         step(task)

@@ -164,15 +164,15 @@ def test_a_merge_that_died_while_publishing_is_repeated(spark, folder, monkeypat
     path = f"{folder}/staged"
     merge(spark, path, [("a", "2025-01-01", "2025-01-01", "old"), ("b", "2025-01-01", "2025-01-02", "b")])
     batch = [("a", "2025-01-02", "2025-01-03", "new")]
-    real = upsert._empty_partition
+    real = upsert.remove_folders
 
     def die(*_):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(upsert, "_empty_partition", die)
+    monkeypatch.setattr(upsert, "remove_folders", die)
     with pytest.raises(RuntimeError):
         merge(spark, path, batch)
-    monkeypatch.setattr(upsert, "_empty_partition", real)
+    monkeypatch.setattr(upsert, "remove_folders", real)
     merge(spark, path, batch)
     assert {(k, s) for k, s, _ in stored(spark, path)} == {("a", "new"), ("b", "b")}
 

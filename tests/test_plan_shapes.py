@@ -21,7 +21,7 @@ from civicspark.plans.staging import since_last_ingest, stage_complaints
 from civicspark.session import INITIAL_PARTITIONS, materialize, shared_dir, size_shuffles
 from civicspark.sinks.tables import append_silver, laid_out, with_layout_column, write_layout
 from civicspark.sources.extract import after_cursor
-from civicspark.sources.files import file_facts, read_silver, silver_mark
+from civicspark.sources.files import file_facts, path_exists, read_silver, silver_mark
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -104,22 +104,12 @@ def test_layout_lets_adaptive_execution_split_hot_partitions(views):
     assert "REBALANCE_PARTITIONS_BY_COL" in text
 
 
-def test_file_facts_do_not_read_files_and_take_few_tasks(spark, folder):
+def test_file_facts_do_not_read_files(spark, folder):
     spark.range(40).write.option("maxRecordsPerFile", 1).parquet(f"{folder}/t")
     assert silver_mark(spark, f"{folder}/t") is not None
     usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
-    try:
-        spark.sparkContext.setJobGroup("file-facts", "")
-        assert file_facts(spark, f"{folder}/t", F.count("*"))[0] == 40
-        tracker = spark.sparkContext.statusTracker()
-        jobs = [tracker.getJobInfo(i) for i in tracker.getJobIdsForGroup("file-facts")]
-        stages = [tracker.getStageInfo(i) for job in jobs for i in job.stageIds]
-        assert jobs and max(stage.numTasks for stage in stages) <= 5
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "100"
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert file_facts(spark, f"{folder}/t", F.count("*"))[0] == 40
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == usual
     files = spark.read.format("binaryFile").load(f"{folder}/t")
     latest = plan(files.selectExpr("max(modificationTime)"))
     assert "content" not in re.search(r"ReadSchema: (.*)", latest).group(1)
@@ -128,15 +118,63 @@ def test_file_facts_do_not_read_files_and_take_few_tasks(spark, folder):
 def test_shuffles_follow_the_input_size(spark, folder, monkeypatch):
     import civicspark.session as session
 
-    spark.range(1000).write.parquet(f"{folder}/t")
-    monkeypatch.setattr(session, "BYTES_PER_REDUCER", 100)
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    size_shuffles(spark, f"{folder}/t")
-    assert int(spark.conf.get(INITIAL_PARTITIONS)) > 4
-    if before is None:
-        spark.conf.unset(INITIAL_PARTITIONS)
-    else:
-        spark.conf.set(INITIAL_PARTITIONS, before)
+    days = spark.range(20_000).selectExpr("id", "id % 100 AS day")
+    days.repartition("day").write.partitionBy("day").parquet(f"{folder}/t")
+    whole = spark.read.parquet(f"{folder}/t")
+    monkeypatch.setattr(session, "BYTES_PER_REDUCER", 1000)
+    own = session.own_session(spark)
+    size_shuffles(own, whole)
+    large = int(own.conf.get(INITIAL_PARTITIONS))
+    size_shuffles(own, whole.filter("day = 7"))
+    assert large > 50 and int(own.conf.get(INITIAL_PARTITIONS)) <= large // 20
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_staged_things_are_released(spark, folder):
+    import civicspark.session as session
+
+    name = session.stage_table(spark.range(3), "mine")
+    path = session.scratch_path(spark, "mine")
+    spark.range(3).write.parquet(path)
+    session.release(spark)
+    assert not spark.catalog.tableExists(name)
+    assert not path_exists(spark, path)
+
+
+def test_hotspots_run_nothing_while_they_are_built(spark, views):
+    from civicspark.plans import marts
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("hotspots", "")
+    try:
+        marts.complaint_hotspots(views.staged("place", "kind"), views.income)
+        assert not tracker.getJobIdsForGroup("hotspots")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_of_a_merge_do_not_grow_with_its_partitions(spark, folder):
+    from conftest import silver_frame
+
+    from civicspark.operators.upsert import merge_into
+    from civicspark.plans.staging import KEY, UPDATED, stage_complaints
+
+    def batch(keys, month):
+        rows = [{"unique_key": str(k), "created_date": f"2025-{month:02}-{k + 1:02}",
+                 ":updated_at": f"2025-{month:02}-{k + 1:02}"} for k in range(keys)]
+        return stage_complaints(silver_frame(spark, rows))
+
+    def jobs_of(keys):
+        path = f"{folder}/{keys}"
+        merge_into(spark, path, batch(keys, 1), KEY, UPDATED)
+        spark.sparkContext.setJobGroup(f"merge{keys}", "")
+        # every row moves, so every partition is emptied
+        merge_into(spark, path, batch(keys, 2), KEY, UPDATED)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert spark.read.parquet(path).count() == keys
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"merge{keys}"))
+
+    assert jobs_of(3) == jobs_of(24)
 
 
 def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
