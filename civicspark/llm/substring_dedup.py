@@ -305,7 +305,9 @@ def repeats(documents: DataFrame, window: int = WINDOW, texts: bool = True) -> D
             keys: dict[int, int] = {}
             shard = mix(owner.view(np.uint64) * np.uint64(64) + copy.astype(np.uint64))
             for a, b in zip(firsts, lasts, strict=True):
-                r, begin, end = int(row[a]), int(at[a]), int(at[b]) + window
+                r, begin = int(row[a]), int(at[a])
+                # another row of the document may be longer than this one
+                end = min(int(at[b]) + window, int(found.first[r + 1]))
                 if r not in keys:
                     keys[r] = _row_key(column[r].as_py())
                 out["shard"].append(int(shard[a] % np.uint64(shards)))
