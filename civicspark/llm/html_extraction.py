@@ -14,7 +14,7 @@ part, or else from the part below the body that holds most of what is left).
    article do not turn it into template.
 3. Every page is aligned again; nodes whose counterpart is template are left out.
 
-Pages are not shuffled while all first pages together are small (``SMALL``, checked); beyond
+Pages are not shuffled while first pages and templates are small (``SMALL``, checked); beyond
 that they are joined by host.  A host may hold any share of the pages: nothing is gathered by host
 but counts.
 
@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.llm.frames import fresh, named
+from civicspark.llm.frames import cut, fresh, named
 
-#: Bytes of first pages that are sent to all tasks.
+#: Bytes of first pages, or of templates, that are sent to all tasks.
 SMALL = 16 << 20
 #: Different texts in which a node must be equal, and their share of the host's.
 LEAST_PAGES = 4
@@ -372,6 +372,14 @@ class Trees:
         return self.kept[host]
 
 
+def _small(frame: DataFrame) -> DataFrame:
+    """The stored frame, to be sent to all tasks if it is small enough."""
+    frame = cut(frame)
+    size = sum((F.octet_length(F.to_json(F.struct(c))) for c in frame.columns), F.lit(0))
+    total = frame.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(frame) if total <= SMALL else frame
+
+
 def _with_first_page(pages: DataFrame, url: str, page: str) -> tuple[DataFrame, str, str]:
     """``pages`` with host and the host's first page, and the columns' names."""
     host, first = fresh(pages, "host", "first_page")
@@ -383,16 +391,16 @@ def _with_first_page(pages: DataFrame, url: str, page: str) -> tuple[DataFrame,
     keyed = with_html.select(
         named(host).alias(host), F.xxhash64(named(page), named(url)).alias("key")
     )
-    firsts = keyed.groupBy(host).agg(F.min("key").alias("key"))
+    firsts = _small(keyed.groupBy(host).agg(F.min("key").alias("key")))
     found = (
-        with_html.withColumn("key", F.xxhash64(named(page), named(url)))
+        with_html.select(
+            named(host), named(page).alias(first), F.xxhash64(named(page), named(url)).alias("key")
+        )
         .join(firsts, [host, "key"])
         .groupBy(host)
-        .agg(F.min(named(page)).alias(first))
+        .agg(F.min(first).alias(first))
     )
-    size = found.agg(F.sum(F.octet_length(named(first)))).first()[0] or 0
-    if size <= SMALL:
-        found = F.broadcast(found)
+    found = _small(found)
     return hosted.join(found, host, "left"), host, first
 
 
@@ -479,7 +487,7 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> tuple[Dat
             columns = [batch.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.string())], [*kept, text])
 
-    return joined.join(templates, host, "left").mapInArrow(texts_of, schema), text
+    return joined.join(_small(templates), host, "left").mapInArrow(texts_of, schema), text
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
