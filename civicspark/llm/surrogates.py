@@ -56,6 +56,8 @@ KEPT = {
     "name": rf"^(?:{_MEN}|{_WOMEN}|{_ANYONE})\.?[ ]",
 }
 ROUNDS = 4
+#: Characters of a surrogate's part.
+LONGEST = 128
 
 # fixed values: the alphabets whose characters stand for each other
 _LATIN = ("aeiouy", "bcdfghjklmnpqrstvwxz")
@@ -142,7 +144,11 @@ def _alphabet(letter: Column, alphabets: tuple[str, ...]) -> Column:
 
 
 def permuted(text: Column, seed: Column, alphabets: tuple[str, ...] = ALPHABETS) -> Column:
-    """The text with every letter and digit moved within its alphabet, case kept."""
+    """The text with every letter and digit moved within its alphabet, case kept.  Of a text of more
+    than ``LONGEST`` characters only as many are given, but all decide which."""
+    long = F.length(text) > LONGEST
+    seed = F.when(long, F.concat_ws("|", seed, F.sha2(text, 256))).otherwise(seed)
+    text = F.when(long, F.substring(text, F.lit(1), F.lit(LONGEST))).otherwise(text)
 
     def of(chars: Column) -> Column:
         # characters that can move: place, alphabet, and place in the alphabet
