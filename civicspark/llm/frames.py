@@ -10,7 +10,18 @@ from pyspark.sql import functions as F
 from civicspark.session import shared_dir
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from where the driver found it.  To
+    other machines it is shipped with ``--py-files``, as any library."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
