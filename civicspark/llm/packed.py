@@ -48,6 +48,14 @@ def bucket_count(keys: float) -> int:
     return max(LEAST_BUCKETS, math.ceil(keys / KEYS_PER_BUCKET))
 
 
+def prime(least: float) -> int:
+    """A prime, so that regular ids spread over so many blocks."""
+    n = max(61, math.ceil(least))
+    while any(n % k == 0 for k in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
+
+
 def text_size(documents: DataFrame, column: str = "text") -> int:
     """Bytes of text in all rows."""
     return documents.agg(F.sum(F.octet_length(column))).first()[0] or 0

@@ -38,6 +38,7 @@ from civicspark.llm.packed import (
     by_bucket,
     merged,
     pack,
+    prime,
     run_starts,
     text_size,
 )
@@ -54,14 +55,6 @@ PER_COPY = 256
 _ROW = "bucket int, payload binary"
 
 
-def _prime(least: float) -> int:
-    """A prime, so that regular ids spread over the blocks."""
-    n = max(61, math.ceil(least))
-    while any(n % k == 0 for k in range(2, math.isqrt(n) + 1)):
-        n += 1
-    return n
-
-
 def _packed_rows(rows: list[tuple[int, bytes]]) -> pa.Table:
     return pa.table(
         {
@@ -212,7 +205,7 @@ def repeats(documents: DataFrame, window: int = WINDOW, texts: bool = True) -> D
     the words that stay, joined by one space."""
     size = text_size(documents)
     corpus_words = size / 6
-    blocks = _prime(size / BLOCK_BYTES)
+    blocks = prime(size / BLOCK_BYTES)
     seed_buckets = bucket_count(corpus_words / 4)
     window_buckets = bucket_count(corpus_words / 2)
     shards = max(64, math.ceil(corpus_words / SHARD_WORDS))

@@ -260,7 +260,7 @@ def lm_scores(texts, order):
 
 @pytest.mark.parametrize("order", [1, 3])
 def test_lm_scores_equal_brute_force(spark, monkeypatch, order):
-    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 200)
     texts = [t for t in odd_texts(5) if t is None or len(t) < 5000] + ["only here"]
     rows = lm_score.scores(documents(spark, texts), order).orderBy("doc_id").collect()
     for row, (n, total) in zip(rows, lm_scores(texts, order), strict=True):
