@@ -181,7 +181,10 @@ def _of_width(vectors: DataFrame, width: int, k: int, n_queries: int) -> DataFra
     vectors = vectors.filter(F.size("ints") == width)
     _, _, rotation = np.linalg.svd(_moments(vectors, width))
     length = F.aggregate("ints", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    longest = vectors.orderBy(length.desc(), "id").limit(HEAD).collect()
+    # the lengths alone first, so that each task then hands on few vectors
+    lengths = vectors.select(length.alias("length")).orderBy(F.desc("length")).limit(HEAD)
+    least = lengths.agg(F.min("length")).first()[0]
+    longest = vectors.filter(length >= least).orderBy(length.desc(), "id").limit(HEAD).collect()
     head = np.array([r["ints"] for r in longest], np.int64).reshape(-1, width)
     head_ids = np.array([-1 if r["id"] is None else r["id"] for r in longest])
     unknown = np.array([r["id"] is None for r in longest])
