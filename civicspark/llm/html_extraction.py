@@ -20,7 +20,7 @@ but counts.
 
 Defined results: null or empty html and pages without a main part give the empty text; pages with
 null or unreadable url form a host of their own; cut-off and badly nested markup is read as far
-as it goes.  One row comes out per row of ``pages``."""
+as it goes, and elements nested more than ``DEEPEST`` deep add their contents to the one around.  One row comes out per row of ``pages``."""
 
 from __future__ import annotations
 
@@ -42,6 +42,8 @@ LEAST_PAGES = 4
 LEAST_SHARE = 0.5
 #: Sibling pairs that are compared one by one; longer lists are aligned by tag and name only.
 MOST_PAIRS = 40_000
+#: Depth of a tree; browsers have such a limit too.
+DEEPEST = 400
 #: Trees of first pages that a task keeps.
 TREES_KEPT = 64
 
@@ -102,12 +104,13 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 class Node:
     """An element; ``kids`` are elements and texts in order."""
 
-    __slots__ = ("tag", "name", "attrs", "kids", "parent")
+    __slots__ = ("tag", "name", "attrs", "kids", "parent", "depth")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.name = (tag, attrs.get("class", ""))
         self.kids: list[Node | str] = []
+        self.depth: int = parent.depth + 1 if parent else 0
 
     def elements(self) -> list[Node]:
         return [k for k in self.kids if isinstance(k, Node)]
@@ -123,6 +126,8 @@ def parse(page: str) -> Node:
     """The page's tree.  Missing end tags are supplied as browsers do in the usual cases."""
     root = Node("", {}, None)
     here, at = root, 0
+    # elements too deep to be opened: their contents go to the deepest that is
+    shut: dict[str, int] = {}
     while True:
         found = _TOKEN.search(page, at)
         text = page[at : found.start()] if found else page[at:]
@@ -137,6 +142,9 @@ def parse(page: str) -> Node:
         if tag is None:
             continue
         tag = tag.lower()
+        if found["end"] and shut.get(tag):
+            shut[tag] -= 1
+            continue
         if found["end"]:
             node = here
             while node is not root and node.tag != tag:
@@ -168,7 +176,10 @@ def parse(page: str) -> Node:
             close = re.compile(rf"</{tag}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
             at = close.end() if close else len(page)
         elif tag not in _VOID and not found["attrs"].endswith("/"):
-            here = node
+            if node.depth < DEEPEST:
+                here = node
+            else:
+                shut[tag] = shut.get(tag, 0) + 1
 
 
 def _leaf(node: Node) -> bool:

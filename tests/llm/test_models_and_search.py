@@ -181,6 +181,7 @@ def text_of(page):
          "long text of the page"),
         ("<article><p hidden>h</p><table><tr><td>1<td>2<tr><td>3</table></article", "1 2 3"),
         ("<p>a</b></div></p></p>b<unknown>c", "a b c"),
+        ("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>end</p>", "deep end"),
     ],
 )
 def test_main_text(page, text):
