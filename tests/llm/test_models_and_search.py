@@ -110,6 +110,25 @@ def test_disguised_words_are_restored(spark):
         assert score(text, kinds) < 0.5, text
 
 
+def test_noise_covers_what_the_regexes_find():
+    rng = random.Random(8)
+    pieces = ["a", "B", "s", "S", "Ж", "ж", "Σ", "ς", "σ", "é", "É", "İ", "ß", "語", "\U00020000", "0", "4", "$",
+              "€", "*", "_", " ", " ", ".", "-", "\u00a0", "д", "д", "u", "U"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(12))) for _ in range(20_000)]
+    texts += ["StUuUuPid", "и д и о т", "η λ ι", "дурррак", "s t u", "xyz", "éÉé", "ςςΣ", "h€llo", None, ""]
+    for text, kinds in zip(texts, toxicity.noise(pa.array(texts)), strict=True):
+        low = (text or "").lower()
+        tokens = [toxicity._EDGES.sub("", t) for t in low.split()]
+        if any(map(toxicity._DRAWN_OUT.search, tokens)):
+            assert kinds & toxicity.DRAWN, text
+        if toxicity._SPELLED_OUT.search(low):
+            assert kinds & toxicity.SPELLED, text
+        if any(map(toxicity._LEET_IN.search, tokens)):
+            assert kinds & toxicity.LEETSPEAK, text
+    assert toxicity.noise(pa.array(["plain words, of 12 kinds"]))[0] == 0
+    assert toxicity.CharacterModel({}).restore("h€llo") == "hello"
+
+
 def test_sample_of_one_class_or_none(spark):
     texts, labels = labelled(spark, n=30)
     frame = documents(spark, texts)
