@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +111,37 @@ def test_disguised_words_are_restored(spark):
         assert score(text, kinds) < 0.5, text
 
 
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [
+        ("St" + "Uu" * 30 + "pid", "stupid"), ("s t u p i d l y w r i t t e n b y m o r o n s", "morons"),
+        ("4$$h0l3", "asshole"), ("1d107", "idiot"), ("a55", "ass"), ("idio7", "idiot"), ("455", "ass"),
+        ("a$$.", "ass"), ("a s t u p i d", "stupid"), ("s t u p i d m o r o n", "moron"),
+        ("s t u p 1 d", "stupid"), ("x/1d10t.html?page=" + "q" * 40, "idiot"),
+        ("1d10t!!!", "idiot"), ("s\u00a0t", None), ("идиооооот", "идиот"), ("и д и о т", "идиот"),
+    ],
+)
+def test_disguises_are_read(text, word):
+    usual = ("a the by you written stupidly stupid morons moron asshole ass idiot идиот html page small x "
+             "hello world").split()
+    counts = Counter(dict.fromkeys(usual, 20))
+    triples = Counter()
+    for w, n in counts.items():
+        triples.update(dict.fromkeys(toxicity._triples([w]), 0))
+        for triple, m in toxicity._triples([w]).items():
+            triples[triple] += n * m
+    model = toxicity.CharacterModel(triples, counts)
+    kinds = int(toxicity.noise(pa.array([text]))[0])
+    found = toxicity.Decoder(model).restored(text, kinds)
+    if word is None:
+        assert not found
+    else:
+        assert word in found
+        # a decoder that looks for this word only reads it the same way
+        assert word in toxicity.Decoder(model, {word[:3]}).restored(text, kinds)
+        assert toxicity.Decoder(model, {"jjj"}).restored(text, kinds) == set()
+
+
 def test_noise_covers_what_the_regexes_find():
     rng = random.Random(8)
     pieces = ["a", "B", "s", "S", "Ж", "ж", "Σ", "ς", "σ", "é", "É", "İ", "ß", "語", "\U00020000", "0", "4", "$",
@@ -118,14 +150,13 @@ def test_noise_covers_what_the_regexes_find():
     texts += ["StUuUuPid", "и д и о т", "η λ ι", "дурррак", "s t u", "xyz", "éÉé", "ςςΣ", "h€llo", None, ""]
     for text, kinds in zip(texts, toxicity.noise(pa.array(texts)), strict=True):
         low = (text or "").lower()
-        tokens = [toxicity._EDGES.sub("", t) for t in low.split()]
-        if any(map(toxicity._DRAWN_OUT.search, tokens)):
+        if any(map(toxicity._DRAWN_OUT.search, low.split())):
             assert kinds & toxicity.DRAWN, text
         if toxicity._SPELLED_OUT.search(low):
             assert kinds & toxicity.SPELLED, text
-        if any(map(toxicity._LEET_IN.search, tokens)):
+        if any(len(t) > 1 for t in toxicity._SIGNED.findall(low)):
             assert kinds & toxicity.LEETSPEAK, text
-    assert toxicity.noise(pa.array(["plain words, of 12 kinds"]))[0] == 0
+    assert toxicity.noise(pa.array(["plain words, of few kinds - 1 or 2"]))[0] == 0
     assert toxicity.CharacterModel({}).restore("h€llo") == "hello"
 
 
