@@ -13,7 +13,8 @@ addresses of one domain, and members of a family, stay recognisable as such.
 
 Case and separators do not count: ``A@B.org`` and ``a@b.org``, ``(012) 555-0199`` and ``012 555 0199``
 are one entity, whose surrogate takes the form of each mention.  Within a document, later mentions of
-a person by one name alone are replaced as in the full name.
+a person by one name alone are replaced as in the full name.  Names have any number of parts, among
+them initials, and small words like ``von``, which stay.
 
 The distinct entities of the corpus are checked: two entities must not share a surrogate, and no
 surrogate may be an entity of the corpus.  Offenders are drawn again until none is left.  Only rows
@@ -33,6 +34,17 @@ from civicspark.llm.frames import cut, fresh, named
 _MEN = "Mr|Mister|Sir|Herr|Herrn|M|Monsieur|Sr|Señor|Don|господин|κύριος"
 _WOMEN = "Mrs|Ms|Miss|Madam|Frau|Mme|Mlle|Madame|Sra|Srta|Señora|Doña|госпожа|κυρία"
 _ANYONE = "Dr|Prof"
+_FORMS = rf"(?:{_MEN}|{_WOMEN}|{_ANYONE})\.?[ ](?:(?:{_ANYONE})\.?[ ])*+"
+# fixed values: small words within names
+_PARTICLES = (
+    "von|vom|van|der|den|dem|de|del|della|dei|di|da|das|do|dos|du|des|la|las|le|los|lo|zu|zum|zur|ten|ter|"
+    "te|af|av|bin|ibn|bint|al|el|y|e"
+)
+_SMALL = rf"(?:(?:{_PARTICLES})[ ])*+"
+#: Initials, and names with what is joined to them in small letters.
+_INITIALS = rf"(?:\p{{Lu}}\.){{2,}}+|\p{{Lu}}\.?(?=[ ]{_SMALL}\p{{Lu}})|(?![IA])\p{{Lu}}(?![\p{{L}}\p{{N}}'’-])"
+_NAME = r"(?:[dl]['’]|[ae]l-)?+\p{Lu}[\p{L}'’-]"
+_NAMES = rf"{_SMALL}(?:\p{{Lu}}\.(?=[ ]{_SMALL}\p{{Lu}})|(?:\p{{Lu}}\.){{2,}}+|{_NAME}*+)(?:[ ]{_SMALL}(?:{_NAME}++|{_INITIALS}))*+"
 
 #: The types in the order in which they are tried at a place of the text.
 PATTERNS = {
@@ -44,7 +56,7 @@ PATTERNS = {
     "card": r"(?<![\p{L}\p{N}+])(?:\d{13,19}+|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,4}+|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}]|[.-]\d)|(?<![\p{L}\p{N}+])\+\d{9,14}(?!\d)",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MEN}|{_WOMEN}|{_ANYONE})\.?[ ]\p{{Lu}}[\p{{L}}'’-]*+(?:[ ]\p{{Lu}}[\p{{L}}'’-]++)?",
+    "name": rf"(?<![\p{{L}}\p{{N}}]){_FORMS}{_NAMES}",
 }
 ANY = "|".join(PATTERNS.values())
 #: What of a match is left as it is, at its beginning.
@@ -53,7 +65,7 @@ KEPT = {
     "secret": r"^(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?",
     "iban": r"^[A-Z]{2}",
     "phone": r"^\+\d{1,3}(?=[ .(-])",
-    "name": rf"^(?:{_MEN}|{_WOMEN}|{_ANYONE})\.?[ ]",
+    "name": rf"^{_FORMS}",
 }
 ROUNDS = 4
 #: Characters of a surrogate's part.
@@ -261,13 +273,18 @@ def _mail(core: Column, seed: Column) -> Column:
 
 
 def _names(core: Column, seed: Column) -> Column:
-    """Every name by itself, its last letter kept."""
+    """Every name by itself, its last letter kept; initials move, small words stay."""
+    parts = F.split(core, " ")
     return F.array_join(
         F.transform(
-            F.split(core, " "),
-            lambda n: F.concat(
-                permuted(F.substring(n, F.lit(1), F.length(n) - 1), seed),
-                F.substring(n, F.length(n), F.lit(1)),
+            parts,
+            lambda n: F.when(n.rlike(rf"^(?:{_PARTICLES})$"), n)
+            .when((F.size(parts) > 1) & (F.length(n) == 1), permuted(n, seed))
+            .otherwise(
+                F.concat(
+                    permuted(F.substring(n, F.lit(1), F.length(n) - 1), seed),
+                    F.substring(n, F.length(n), F.lit(1)),
+                )
             ),
         ),
         " ",
@@ -391,12 +408,19 @@ def replace(
             lambda m: F.zip_with(
                 F.split(F.regexp_replace(m["match"], KEPT["name"], ""), " "),
                 F.split(F.regexp_replace(m["surrogate"], KEPT["name"], ""), " "),
-                lambda old, new: F.struct(old.alias("old"), new.alias("new")),
+                lambda old, new: F.struct(
+                    old.alias("old"), new.alias("new"),
+                    F.regexp_replace(m["match"], KEPT["name"], "").alias("whole"),
+                ),
             ),
         )
     )
+    # neither small words nor initials name a person alone
+    alone = F.filter(
+        names, lambda n: ~n["old"].rlike(rf"^(?:{_PARTICLES}|\p{{Lu}}\.|\p{{Lu}})$") | (n["old"] == n["whole"])
+    )
     named_alone = F.aggregate(
-        names,
+        alone,
         spliced,
         lambda t, n: F.regexp_replace(
             t, F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), n["old"], F.lit(r"\E(?![\p{L}\p{N}])")), n["new"]
