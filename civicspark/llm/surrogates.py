@@ -68,7 +68,7 @@ KEPT = {
     "name": rf"^{_FORMS}",
 }
 ROUNDS = 4
-#: Characters of a surrogate's part.
+#: Characters that are permuted together; longer parts are permuted piece by piece.
 LONGEST = 128
 
 # fixed values: the alphabets whose characters stand for each other
@@ -156,12 +156,29 @@ def _alphabet(letter: Column, alphabets: tuple[str, ...]) -> Column:
 
 
 def permuted(text: Column, seed: Column, alphabets: tuple[str, ...] = ALPHABETS) -> Column:
-    """The text with every letter and digit moved within its alphabet, case kept.  Of a text of more
-    than ``LONGEST`` characters only as many are given, but all decide which."""
-    long = F.length(text) > LONGEST
-    seed = F.when(long, F.concat_ws("|", seed, F.sha2(text, 256))).otherwise(seed)
-    text = F.when(long, F.substring(text, F.lit(1), F.lit(LONGEST))).otherwise(text)
+    """The text with every letter and digit moved within its alphabet, case kept.  Texts of more than
+    ``LONGEST`` characters are moved in pieces of as many; the whole text decides on each piece."""
+    last = F.floor((F.length(text) - 1) / LONGEST).cast("int")
+    whole = F.sha2(F.lower(text), 256)
+    pieces = F.when(
+        F.length(text) > LONGEST,
+        _let(
+            whole,
+            lambda w: F.transform(
+                F.sequence(F.lit(0), last),
+                lambda i: F.struct(
+                    F.substring(text, i * LONGEST + 1, F.lit(LONGEST)).alias("text"),
+                    F.concat_ws("|", seed, w, i.cast("string")).alias("seed"),
+                ),
+            ),
+        ),
+    ).otherwise(F.array(F.struct(text.alias("text"), seed.alias("seed"))))
+    return F.array_join(
+        F.transform(pieces, lambda p: _permuted_piece(p["text"], p["seed"], alphabets)), ""
+    )
+
 
+def _permuted_piece(text: Column, seed: Column, alphabets: tuple[str, ...]) -> Column:
     def of(chars: Column) -> Column:
         # characters that can move: place, alphabet, and place in the alphabet
         places = F.transform(

@@ -165,6 +165,25 @@ def test_names_of_many_parts(spark):
     assert replaced(spark, ["Mr Smith I think"])[0].endswith(" I think")
 
 
+def test_long_entities_keep_length_and_form(spark):
+    rng = random.Random(3)
+    token = "".join(rng.choice("abkZ09") for _ in range(300))
+    other = token[:-1] + ("b" if token[-1] != "b" else "k")
+    texts = [f"token={token}", f"token={other}", f"{token}@{token[:63]}.org", f"{token.upper()}@{token[:63].upper()}.org"]
+    found = replaced(spark, texts)
+
+    def form(text):
+        return re.sub("[0-9]", "0", re.sub("[aeiouy]", "a", re.sub("[b-df-hj-np-tv-xz]", "b", text.lower())))
+
+    for old, new in zip(texts, found, strict=True):
+        at = 6 if old.startswith("token=") else 0
+        assert len(new) == len(old) and form(new[at:]) == form(old[at:])
+        assert [c.isupper() for c in new[at:]] == [c.isupper() for c in old[at:]]
+        assert all(new[i : i + 128] != old[i : i + 128] for i in (at, at + 128))
+    assert found[0][6:134] != found[1][6:134] and found[0][134:262] != found[1][134:262]
+    assert found[2].lower() == found[3].lower()
+
+
 def test_adjacent_and_odd_entities(spark):
     texts = [None, "", "7536784127813050 4845168114407329", "a@b.co,c@d.co;e@f.co", "1.2.3 v1.2.3.4.5 12:30",
              "x" * 200_000, "1" * 50_000, "secret: " + "k" * 50_000, "ж@почта.рф господин Иванов", "🙂@🙂"]
