@@ -29,6 +29,7 @@ import re
 import zlib
 from collections import OrderedDict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,10 @@ SMALL = 16 << 20
 #: Different texts in which a node must be equal, and their share of the host's.
 LEAST_PAGES = 4
 LEAST_SHARE = 0.5
-#: Sibling pairs that are compared one by one; longer lists are aligned by tag and name only.
+#: Sibling pairs that are compared one by one; longer lists are aligned row by row, with equal results.
 MOST_PAIRS = 40_000
+#: Sibling pairs of long lists whose table is kept whole; longer lists are halved first.
+TABLE_PAIRS = 1 << 22
 #: Depth of a tree; browsers have such a limit too.
 DEEPEST = 400
 #: Trees of first pages that a task keeps.
@@ -186,9 +189,71 @@ def _leaf(node: Node) -> bool:
     return not any(isinstance(k, Node) for k in node.kids)
 
 
+def _best_row(weights: list[np.ndarray], start: int, stop: int) -> np.ndarray:
+    """The last row of the alignment's table, for the places from ``start`` to ``stop``."""
+    row = np.zeros(stop - start + 1, np.int64)
+    for own in weights:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + own[start:stop]))
+    return row
+
+
+def _align(weights: list[np.ndarray], first: int, start: int, stop: int) -> list[tuple[int, int]]:
+    """The heaviest ordered alignment of rows, numbered from ``first``, with the places from ``start`` to
+    ``stop``; memory is linear but for a table of ``TABLE_PAIRS`` (Hirschberg)."""
+    if not weights or start == stop:
+        return []
+    if len(weights) > 1 and len(weights) * (stop - start) > TABLE_PAIRS:
+        half = len(weights) // 2
+        after = [own[::-1] for own in reversed(weights[half:])]
+        size = len(weights[0])
+        below = _best_row(after, size - stop, size - start)[::-1]
+        cut_at = start + int(np.argmax(_best_row(weights[:half], start, stop) + below))
+        return _align(weights[:half], first, start, cut_at) + _align(
+            weights[half:], first + half, cut_at, stop
+        )
+    table = [np.zeros(stop - start + 1, np.int64)]
+    for own in weights:
+        row = table[-1].copy()
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + own[start:stop]))
+        table.append(row)
+    i, j, chosen = len(weights), stop - start, []
+    while i and j:
+        if table[i][j] == table[i - 1][j]:
+            i -= 1
+        elif table[i][j] == table[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            chosen.append((first + i, start + j))
+    return chosen[::-1]
+
+
 def match(one: Node, two: Node) -> dict[Node, Node]:
     """Simple tree matching: nodes of ``one`` with their counterparts in ``two``."""
     sizes: dict[tuple[int, int], tuple[int, list]] = {}
+    # nodes of one shape weigh the same
+    shapes: dict[tuple, int] = {}
+    shape_of: dict[int, int] = {}
+    by_shape: dict[tuple[int, int], int] = {}
+
+    def shape(node: Node) -> int:
+        found = shape_of.get(id(node))
+        if found is None:
+            key = (node.name, *map(shape, node.elements()))
+            found = shape_of[id(node)] = shapes.setdefault(key, len(shapes))
+        return found
+
+    def weights(left: list[Node], right: list[Node]) -> list[np.ndarray]:
+        rows: dict[int, np.ndarray] = {}
+        kinds = [shape(b) for b in right]
+        for a in left:
+            if shape(a) not in rows:
+                for b, kind in zip(right, kinds, strict=True):
+                    pair = shape(a), kind
+                    if pair not in by_shape:
+                        by_shape[pair] = weigh(a, b) if a.name == b.name else 0
+                rows[shape(a)] = np.array([by_shape[shape(a), kind] for kind in kinds], np.int32)
+        return [rows[shape(a)] for a in left]
 
     def weigh(a: Node, b: Node) -> int:
         known = sizes.get((id(a), id(b)))
@@ -211,13 +276,10 @@ def match(one: Node, two: Node) -> dict[Node, Node]:
             total += 1
         if left and right:
             if len(left) * len(right) > MOST_PAIRS:
-                places = iter(range(len(right)))
-                for a_kid in left:
-                    for j in places:
-                        if right[j].name == a_kid.name:
-                            total += weigh(a_kid, right[j])
-                            pairs.append((a_kid, right[j]))
-                            break
+                found = weights(left, right)
+                chosen = _align(found, 0, 0, len(right))
+                total += sum(int(found[i][j]) for i, j in chosen)
+                pairs += [(left[i], right[j]) for i, j in chosen]
             else:
                 table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
                 for i, a_kid in enumerate(left):

@@ -246,6 +246,33 @@ def test_aligned_trees():
     assert all(a.tag == b.tag for a, b in pairs.items())
 
 
+@pytest.mark.parametrize("table", [1 << 22, 4])
+def test_long_lists_are_aligned_as_short_ones(monkeypatch, table):
+    rng = random.Random(9)
+    monkeypatch.setattr(html_extraction, "TABLE_PAIRS", table)
+
+    def page(n):
+        inner = ("", "<b>x</b>", "<i>y</i>", "<b>x<i>y</i></b><u>z</u>")
+        return "".join(f"<{t}>{rng.choice(inner)}</{t}>" for t in rng.choices(["div", "h2", "ul"], k=n))
+
+    for n in [1, 2, 5, 9] * 20:
+        one, two = (html_extraction.parse(page(rng.randrange(n + 3))) for _ in range(2))
+        monkeypatch.setattr(html_extraction, "MOST_PAIRS", 40_000)
+        wanted = html_extraction.match(one, two)
+        monkeypatch.setattr(html_extraction, "MOST_PAIRS", 0)
+        found = html_extraction.match(one, two)
+        assert len(found) == len(wanted)
+        assert all(a.name == b.name for a, b in found.items())
+
+
+def test_a_child_without_counterpart_does_not_end_a_long_list():
+    rows = "".join(f"<div><b>{i}</b></div>" for i in range(1000))
+    one = html_extraction.parse(f"<section><b>only here</b></section>{rows}<ul><li>end</ul>")
+    two = html_extraction.parse(f"{rows}<ul><li>end</ul><section></section>")
+    found = html_extraction.match(one, two)
+    assert sum(a.tag == "div" for a in found) == 1000 and any(a.tag == "ul" for a in found)
+
+
 def test_template_of_a_host_is_left_out(spark):
     rows = [
         (i, f"https://one.example/{i}",
