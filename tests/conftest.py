@@ -2,13 +2,11 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import date, datetime, timezone
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from civicspark import schemas  # noqa: E402
 from civicspark.session import build_session  # noqa: E402
 
 
@@ -29,31 +27,3 @@ def spark():
 @pytest.fixture
 def folder(tmp_path) -> str:
     return str(tmp_path)
-
-
-def at(text: str) -> datetime:
-    """UTC instant as a collected Spark timestamp shows it here (zone-less local time)."""
-    instant = datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
-    return instant.astimezone().replace(tzinfo=None)
-
-
-def silver_frame(spark, rows: list[dict]):
-    """Silver rows from dicts; columns not given are null, times are ISO text."""
-    values = []
-    for row in rows:
-        record = []
-        for field in schemas.SILVER_COMPLAINT:
-            value = row.get(field.name)
-            if isinstance(value, str) and field.dataType.typeName() == "timestamp":
-                value = at(value)
-            if isinstance(value, str) and field.dataType.typeName() == "date":
-                value = date.fromisoformat(value)
-            record.append(value)
-        values.append(tuple(record))
-    return spark.createDataFrame(values, schemas.SILVER_COMPLAINT)
-
-
-def as_set(df) -> set[tuple]:
-    rows = [tuple(row) for row in df.collect()]
-    assert len(rows) == len(set(rows)), "repeated rows"
-    return set(rows)

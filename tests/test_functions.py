@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at
+from helpers import at
 from pyspark.sql import functions as F
 
 from civicspark import functions as fn

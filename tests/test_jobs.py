@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import at
+from helpers import at
 from pyspark.sql import functions as F
 
 from civicspark import schemas

@@ -5,7 +5,7 @@ import random
 from datetime import date
 
 import pytest
-from conftest import as_set, at
+from helpers import as_set, at
 from pyspark.sql import functions as F
 
 from civicspark.operators import dedup, joins, ranking, upsert

@@ -8,7 +8,7 @@ import os
 import re
 
 import pytest
-from conftest import silver_frame
+from helpers import silver_frame
 from pyspark.sql import functions as F
 
 from civicspark.fixtures import TIE_BREAK, Views
@@ -154,7 +154,7 @@ def test_hotspots_run_nothing_while_they_are_built(spark, views):
 
 
 def test_jobs_of_a_merge_do_not_grow_with_its_partitions(spark, folder):
-    from conftest import silver_frame
+    from helpers import silver_frame
 
     from civicspark.operators.upsert import merge_into
     from civicspark.plans.staging import KEY, UPDATED, stage_complaints

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import as_set, at, silver_frame
+from helpers import as_set, at, silver_frame
 
 from civicspark import schemas
 from civicspark.operators import quality
