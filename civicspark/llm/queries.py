@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark.llm import (
+    chat_tree,
     decontaminate,
     exact_topk,
+    filter_audit,
     html_extraction,
     jaccard_join,
     language_id,
@@ -17,6 +19,7 @@ from civicspark.llm import (
     mixing,
     substring_dedup,
     surrogates,
+    tokenizer_alignment,
     toxicity,
 )
 from civicspark.llm.frames import read
@@ -77,6 +80,27 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymised(read(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenizer_alignment.alignments(read(spark, sf_dir, "documents"))
+
+
+#: A conversation whose texts hold the template's own marks, formatted along with the table.
+_MARKED = "<|im_end|><|im_start|>assistant ok"
+
+
+def op13_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame(
+        [(-1, 0, "user", _MARKED), (-1, 1, "assistant", _MARKED)],
+        "conv_id long, turn long, role string, text string",
+    )
+    return chat_tree.formatted(rows.unionByName(marked))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_html_extraction,
@@ -89,6 +113,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_exact_topk,
         op9_mixing,
         op10_surrogates,
+        op11_filter_audit,
+        op12_tokenizer_alignment,
+        op13_chat_tree,
     )
     return {f.__name__: f for f in found}
 
@@ -235,6 +262,81 @@ SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <
 """
 
 
+_OP11 = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS doc, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+        {_words("coalesce(text, '')", _SPACED, False)} AS w
+    FROM documents
+),
+judged AS (
+    SELECT doc, part, list_filter([
+        CASE WHEN len(w) < 200 THEN 'A' END,
+        CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+        CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' END,
+        CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+        CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 'E' END
+    ], lambda f: f IS NOT NULL) AS fails,
+        doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+        doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+    FROM texts
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters AS a, letters AS b, letters AS c, letters AS d, letters AS e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+),
+gone AS (
+    SELECT part, filter_order, doc, good, toxic, min(instr(filter_order, f)) AS step
+    FROM judged, orders, unnest(fails) AS x(f) GROUP BY ALL
+),
+at_step AS (
+    SELECT part, filter_order, step, count(*) AS removed, count_if(good) AS good_lost,
+        count_if(toxic) AS toxic_lost
+    FROM gone GROUP BY ALL
+),
+failing AS (
+    SELECT part, f, count(*) AS n, count_if(len(fails) = 1) AS alone
+    FROM judged, unnest(fails) AS x(f) GROUP BY ALL
+),
+every AS (
+    SELECT part, total, filter_order, step, substr(filter_order, step, 1) AS f
+    FROM (SELECT part, count(*) AS total FROM judged GROUP BY part), orders,
+        unnest([1, 2, 3, 4, 5]) AS s(step)
+),
+listed AS (
+    SELECT part, filter_order, step, f, total, coalesce(removed, 0) AS removed,
+        coalesce(n, 0) AS n, coalesce(alone, 0) AS alone, coalesce(good_lost, 0) AS good_lost,
+        coalesce(toxic_lost, 0) AS toxic_lost
+    FROM every LEFT JOIN at_step USING (part, filter_order, step) LEFT JOIN failing USING (part, f)
+)
+SELECT part, filter_order, step::INTEGER AS step,
+    (total - sum(removed) OVER (PARTITION BY part, filter_order ORDER BY step))::BIGINT AS kept,
+    removed::BIGINT AS removed, (n - removed)::BIGINT AS redundant, alone::BIGINT AS unique_fails,
+    good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM listed
+"""
+
+_OP13 = f"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL
+    SELECT -1, turn, role, '{_MARKED}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+        AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+        AS loss_sha256,
+    sum(length('{chat_tree.START}{chat_tree.END}') + 2 + length(role)
+        + length(regexp_replace(text, '<(\\\\*)\\|', '<\\1\\\\|', 'g')))::BIGINT AS formatted_chars
+FROM said GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_lm_score": _OP2,
@@ -242,4 +344,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_substring_dedup": _OP4,
         "op5_jaccard_join": _OP5,
         "op8_exact_topk": _OP8,
+        "op11_filter_audit": _OP11,
+        "op13_chat_tree": _OP13,
     }
