@@ -293,3 +293,36 @@ def _one(spark, frame):
 
 def test_chats_of_an_empty_table(spark):
     assert chat_tree.formatted(spark.createDataFrame([], TURN)).count() == 0
+
+
+# Both engines of the byte-level tokenizer ---------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def byte_level():
+    folder = tokenizer_alignment.TOKENIZERS
+    return tokenizer_alignment.ByteLevel(f"{folder}/{tokenizer_alignment.BYTE_BPE}")
+
+
+def test_engines_agree_on_all_characters_that_the_fast_one_takes(byte_level):
+    rng = random.Random(2)
+    characters = [chr(c) for c in range(0x280)]
+    texts = ["".join(rng.choice(characters) for _ in range(80)) for _ in range(3000)]
+    texts += [x + c + y for x in "a 1'\n" for c in characters for y in "a 1\n"]
+    texts += ["the " * 50, "a" * 5000, " " * 5000 + "b", "\n " * 3000, " " * 1_000_000 + "b", "漢字 ’s naïve", ""]
+    assert byte_level._fast is not None
+    assert byte_level.encode(texts) == byte_level.encode_by_merges(texts)
+
+
+def test_every_token_is_made_by_merging_its_own_bytes(byte_level):
+    import json
+
+    with open(f"{tokenizer_alignment.TOKENIZERS}/{tokenizer_alignment.BYTE_BPE}") as file:
+        model = json.load(file)["model"]
+    rank = {tuple(m): k for k, m in enumerate(model["merges"])}
+    for token in model["vocab"]:
+        parts = list(token)
+        while len(parts) > 1 and token != "<|endoftext|>":
+            best, at = min((rank.get(p, len(rank)), i) for i, p in enumerate(zip(parts, parts[1:])))
+            assert best < len(rank), token
+            parts[at : at + 2] = ["".join(parts[at : at + 2])]
