@@ -10,9 +10,18 @@ from pyspark.sql import functions as F
 from civicspark.session import shared_dir
 
 
+#: Bytes of rows that a Python worker is sent at a time, unless the session sets another number.
+#: Texts differ so much in length that a number of rows, Spark's other limit, says little.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the library from where the driver found it.  To
-    other machines it is shipped with ``--py-files``, as any library."""
+    """Let Python workers on this machine import the library from where the driver found it, and
+    send them rows in batches of bounded bytes.  To other machines the library is shipped with
+    ``--py-files``, as any library."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
