@@ -14,6 +14,13 @@ from civicspark.session import shared_dir
 #: Texts differ so much in length that a number of rows, Spark's other limit, says little.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Large arrays of Python workers go back to the system when freed; a worker that waits for its next
+#: task otherwise holds on to all it ever needed.
+_WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": "1000000",
+}
 
 
 def importable(spark: SparkSession) -> None:
@@ -24,6 +31,8 @@ def importable(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
+    for name, value in _WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
