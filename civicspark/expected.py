@@ -9,6 +9,7 @@ from civicspark.workload import (
     CURSOR,
     FLOOR,
     HOT_TYPES,
+    MOVED,
     PAGE_START,
     RUN_AT,
     SNAPSHOTS,
@@ -360,6 +361,9 @@ def expected_sql() -> dict[str, str]:
         "daily_chain": _CHAIN,
         "daily_chain_layers": _EXTRACTED + _layers("extracted", 5),
         "marts_after_second_batch": f", any_tie AS ({_ANY_TIE_FULL})" + _layers("any_tie", 5),
+        "kept_agency_efficiency": f"{_MOVED} {_mart('moved', _AGENCY)}",
+        "kept_income_resolution": f"{_MOVED} {_mart('moved', _RESOLUTION, valued=True)}",
+        "kept_complaint_hotspots": _MOVED + _hotspots("moved", 5) + " SELECT * FROM hotspots",
         "bronze_microseconds": """SELECT unique_key, bbl,
             updated_at + to_microseconds(CAST(length(bbl) AS INTEGER)) AS updated_at FROM silver""",
         "extract_rejected_lines": f"""SELECT
@@ -399,6 +403,15 @@ _ANY_TIE = f"""SELECT * FROM {_without("staging", "agency", "kind")}
 
 _ANY_TIE_FULL = f"""SELECT * FROM staging
     QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY {_ALL_COLUMNS}) = 1"""
+# As above, some late versions having another time of creation.
+_MOVED = f""", dated AS (
+    SELECT * REPLACE (CASE WHEN {_LATE} AND regexp_matches(bbl, '{MOVED}')
+        THEN created_date + INTERVAL 40 DAY + INTERVAL 5 HOUR ELSE created_date END AS created_date)
+    FROM staging
+), moved AS (
+    SELECT * FROM dated
+    QUALIFY row_number() OVER (PARTITION BY unique_key ORDER BY {_ALL_COLUMNS}) = 1
+)"""
 # Requests of which some lose their key and some have an unknown status.
 _FLAWED = """SELECT CASE WHEN status <> 'Pending' THEN unique_key END AS k,
     CASE WHEN bbl LIKE '%9' THEN 'reopened' ELSE lower(trim(status)) END AS s FROM silver"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicspark.operators.dedup import latest_per_key
@@ -19,6 +19,7 @@ from civicspark.sinks.tables import (
 )
 from civicspark.sources.files import path_exists, read_if_present
 
+SIGN = "sign"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -53,6 +54,18 @@ def _merge_latest(
     return untouched.unionByName(batch)
 
 
+def signed_images(
+    target: DataFrame, batch: DataFrame, key: str, newest: str, newer_only: bool = False
+) -> DataFrame:
+    """What a merge of ``batch`` into ``target`` takes away and puts in place: the replaced rows with
+    ``sign`` -1 and those that replace them, or are new, with +1.  Sums over the merged table change
+    by the signed sums over these.  Both sides hold each key once."""
+    _, replaced = split_matched(target, batch, key)
+    kept = _merge_latest(replaced, batch, key, newest, newer_only) if newer_only else batch
+    old = replaced.withColumn(SIGN, F.lit(-1))
+    return old.unionByName(kept.withColumn(SIGN, F.lit(1)))
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -64,8 +77,10 @@ def merge_into(
     instant: str = "created_date",
     granularity: str = "day",
     cluster: Sequence[str] = CLUSTER_COLUMNS,
+    changes: str | None = None,
 ) -> None:
     """Merge ``batch`` into the laid-out Parquet table at ``path``, creating it if need be.
+    ``changes`` names a folder that gets the ``signed_images`` before the table is changed.
 
     Only partitions that receive batch rows, or hold an older version of a batch key, are
     rewritten; a changed creation date thus moves a row.  Merging the same batch again changes
@@ -76,7 +91,7 @@ def merge_into(
         write_layout(newest_batch, path, instant, granularity, cluster)
         return
     name = stage_table(with_layout_column(newest_batch, instant, granularity), "batch")
-    merge_stored(spark, path, spark.table(name), key, newest, newer_only, cluster)
+    merge_stored(spark, path, spark.table(name), key, newest, newer_only, cluster, changes)
     drop_staged(spark, name)
 
 
@@ -88,6 +103,7 @@ def merge_stored(
     newest: str,
     newer_only: bool = False,
     cluster: Sequence[str] = CLUSTER_COLUMNS,
+    changes: str | None = None,
 ) -> None:
     """As ``merge_into`` for a stored batch that holds each key once and has the layout column."""
     target = read_if_present(spark, path, batch.schema)
@@ -99,7 +115,11 @@ def merge_stored(
     touched = _partition_values(replaced.select(LAYOUT_COLUMN).union(batch.select(LAYOUT_COLUMN)))
     if not touched:
         return
-    affected = target.filter(_in_partitions(touched))
+    affected = target.filter(in_partitions(LAYOUT_COLUMN, touched))
+    if changes:
+        # An image is gone from the table once it is merged, so it is stored before.
+        images = signed_images(affected, batch, key, newest, newer_only)
+        images.write.mode("overwrite").parquet(changes)
     # A job must not overwrite what it reads, so the new partitions are staged first.  Should
     # the publication fail, the staged table is left behind and the merge can be repeated.
     merged_name = stage_table(_merge_latest(affected, batch, key, newest, newer_only), "merged")
@@ -123,8 +143,9 @@ def _partition_values(df: DataFrame) -> list:
     return [row[0] for row in df.select(LAYOUT_COLUMN).distinct().collect()]
 
 
-def _in_partitions(values: Sequence):
-    column = F.col(LAYOUT_COLUMN)
+def in_partitions(name: str, values: Sequence) -> Column:
+    """Whether the partition column has one of the values, null among them."""
+    column = F.col(name)
     known = [value for value in values if value is not None]
     wanted = column.isin(known)
     return wanted | column.isNull() if len(known) < len(values) else wanted

@@ -8,13 +8,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from civicspark import schemas
 from civicspark.operators import quality
 from civicspark.operators.dedup import latest_per_key
 from civicspark.operators.history import read_history, take_snapshot
-from civicspark.operators.upsert import merge_into
-from civicspark.plans import dashboard, marts
+from civicspark.operators.upsert import SIGN, merge_into, merge_stored
+from civicspark.plans import dashboard, kept
 from civicspark.plans.silver import silver_complaints, silver_income
 from civicspark.plans.staging import (
     KEY,
@@ -24,7 +25,7 @@ from civicspark.plans.staging import (
     stage_complaints,
     stage_income,
 )
-from civicspark.session import own_session, prepare, size_shuffles
+from civicspark.session import own_session, prepare, remove_folders, size_shuffles
 from civicspark.sinks.tables import (
     LAYOUT_COLUMN,
     append_silver,
@@ -35,6 +36,7 @@ from civicspark.sinks.tables import (
 )
 from civicspark.sources.extract import incremental_extract
 from civicspark.sources.files import (
+    path_exists,
     read_complaints,
     read_income,
     read_lines,
@@ -60,6 +62,10 @@ class Lake:
         self.keyless = f"{root}/staging/keyless"
         self.staged_mark = f"{root}/metadata/marks/staged"
         self.history_mark = f"{root}/metadata/marks/history"
+        self.changes = f"{root}/staging/changes"
+        self.changes_mark = f"{root}/metadata/marks/changes"
+        self.rebuilt_mark = f"{root}/metadata/marks/rebuilt"
+        self.kept_mark = f"{root}/metadata/marks/kept"
         self.marts = f"{root}/marts"
         self.bronze_income = f"{root}/bronze/median_income"
         self.silver_complaints = f"{root}/silver/complaints"
@@ -152,8 +158,16 @@ def build_staging(
     key.  An incremental run merges what was ingested since the last one; a full refresh, or a
     first run, rebuilds the table.
 
-    How far a run has come is stored beside the table, after it, so a run that died is repeated."""
+    How far a run has come is stored beside the table, after it, so a run that died is repeated.
+    A merge first stores what it will change (``Lake.changes``), for the marts to follow, and a
+    merge that died after that is finished before anything else, from what it stored."""
     spark = own_session(spark)
+    finish_merge(spark, lake)
+    number = _number(spark, lake.changes_mark) + 1
+    rebuilt = full_refresh or not path_exists(spark, lake.staged_complaints)
+    if rebuilt:
+        # Whatever becomes of this run, sums kept over the table as it was do not hold any more.
+        _write_number(spark, lake.rebuilt_mark, number)
     silver = read_silver(spark, lake.silver_complaints)
     fresh = since_last_ingest(silver, None if full_refresh else _mark(spark, lake.staged_mark))
     size_shuffles(spark, fresh)
@@ -163,13 +177,51 @@ def build_staging(
         write_layout(latest, lake.staged_complaints, granularity=granularity)
     else:
         merge_into(
-            spark, lake.staged_complaints, keyed, KEY, UPDATED, granularity=granularity
+            spark,
+            lake.staged_complaints,
+            keyed,
+            KEY,
+            UPDATED,
+            granularity=granularity,
+            changes=None if rebuilt else changes_of(lake, number),
         )
+    _write_number(spark, lake.changes_mark, number)
     overwrite_table(stage_income(spark.read.parquet(lake.silver_income)), lake.staged_income)
     _advance(spark, lake.staged_mark, fresh)
     return keyless(fresh)
 
 
+def _with_sign() -> StructType:
+    return StructType([*schemas.STAGED_COMPLAINT.fields, StructField(SIGN, IntegerType())])
+
+
+def changes_of(lake: Lake, number: int) -> str:
+    return f"{lake.changes}/change={number}"
+
+
+def finish_merge(spark: SparkSession, lake: Lake) -> None:
+    """Finish a merge that died after it had stored its changes.  The rows it was to put in place are
+    among them, and putting them there again changes nothing."""
+    number = _number(spark, lake.changes_mark) + 1
+    folder = changes_of(lake, number)
+    if not path_exists(spark, f"{folder}/_SUCCESS"):
+        return
+    if number > _number(spark, lake.rebuilt_mark):
+        images = spark.read.parquet(folder)
+        batch = images.filter(F.col(SIGN) > 0).drop(SIGN)
+        merge_stored(spark, lake.staged_complaints, batch, KEY, UPDATED)
+    _write_number(spark, lake.changes_mark, number)
+
+
+def _number(spark: SparkSession, path: str) -> int:
+    return int(read_state(spark, path, "0"))
+
+
+def _write_number(spark: SparkSession, path: str, number: int) -> None:
+    # States are texts of which the greatest counts.
+    write_state(spark, path, f"{number:012d}")
+
+
 def _mark(spark: SparkSession, path: str) -> str | None:
     return read_state(spark, path, "") or None
 
@@ -233,31 +285,82 @@ def take_history(
         write_state(spark, lake.history_mark, done)
 
 
-def build_marts(spark: SparkSession, lake: Lake) -> None:
-    """Rebuild the stored marts from the staged tables, and the charts' tables from the marts.  They
-    outlive the run; until the next one they show the staged tables as of this one."""
+def build_marts(spark: SparkSession, lake: Lake, full: bool = False) -> None:
+    """Bring what is kept of the marts up to the staged table: by the changes merged since the last
+    time, which reads the months they touch and nothing of the staged table, or, after a rebuild of
+    that table or with ``full``, from all of it.
+
+    A table that something else than ``build_staging`` merges into needs ``full``."""
     spark = own_session(spark)
-    staged = staged_complaints(spark, lake)
+    finish_merge(spark, lake)
+    done, rebuilt = _number(spark, lake.changes_mark), _number(spark, lake.rebuilt_mark)
+    base, kept_to = _kept(spark, lake)
+    if full or base is None or rebuilt > kept_to:
+        # A number of its own, so that no earlier generation is written over.
+        generation = max(done, kept_to + 1)
+        _write_number(spark, lake.changes_mark, generation)
+        staged = staged_complaints(spark, lake)
+        size_shuffles(spark, staged)
+        for mart in kept.ALL:
+            kept.rebuild(kept_path(lake, mart), mart, staged, generation)
+        _write_kept(spark, lake, generation, generation)
+        return
+    if done == kept_to:
+        return
+    folders = [changes_of(lake, n) for n in range(kept_to + 1, done + 1)]
+    stored = [folder for folder in folders if path_exists(spark, folder)]
+    if stored:
+        images = spark.read.schema(_with_sign()).parquet(*stored)
+        size_shuffles(spark, images)
+        for mart in kept.ALL:
+            kept.advance(spark, kept_path(lake, mart), mart, images, base, kept_to, done)
+    _write_kept(spark, lake, base, done)
+    # What counted until now stays for its readers until the next time.
+    for mart in kept.ALL:
+        kept.forget(spark, kept_path(lake, mart), mart, base, kept_to)
+    remove_folders(spark, *stored)
+
+
+def _kept(spark: SparkSession, lake: Lake) -> tuple[int | None, int]:
+    """The generations of the marts that count, from and to; no first one if there are none."""
+    newest, _, base = read_state(spark, lake.kept_mark, "").partition("/")
+    return (int(base), int(newest)) if base else (None, 0)
+
+
+def _write_kept(spark: SparkSession, lake: Lake, base: int, newest: int) -> None:
+    # One state, so that both change at once.
+    write_state(spark, lake.kept_mark, f"{newest:012d}/{base:012d}")
+
+
+def kept_path(lake: Lake, mart: kept.Kept) -> str:
+    return f"{lake.marts}/kept/{mart.name}"
+
+
+def read_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The marts and the charts' tables as of the last ``build_marts``, from what is kept, with the
+    incomes of now.  Nothing of the staged table is read."""
+    base, newest = _kept(spark, lake)
+    if base is None:
+        raise ValueError("the marts have not been built")
     income = spark.read.schema(schemas.STAGED_INCOME).parquet(lake.staged_income)
-    size_shuffles(spark, staged, income)
-    built = {
-        "fct_agency_efficiency": marts.agency_efficiency(staged),
-        "fct_income_resolution": marts.income_resolution(staged, income),
-        "fct_complaint_hotspots": marts.complaint_hotspots(staged, income),
-    }
-    for name, mart in built.items():
-        overwrite_table(mart, f"{lake.marts}/{name}")
-    agency, resolution, hotspots = (spark.read.parquet(f"{lake.marts}/{n}") for n in built)
-    points = dashboard.income_scatter(resolution)
-    charts = {
-        "chart_income_scatter": points,
-        "chart_income_trendline": dashboard.income_trendline(points),
-        "chart_resolution_by_borough": dashboard.avg_resolution_by_borough(agency),
-        "chart_agency_ranking": dashboard.agency_ranking(agency),
-        "chart_types_by_borough": dashboard.types_by_borough(hotspots),
-    }
-    for name, chart in charts.items():
-        overwrite_table(chart, f"{lake.marts}/{name}")
+    agency, resolution, hours = (
+        kept.held(spark, kept_path(lake, mart), mart, base, newest) for mart in kept.ALL
+    )
+    by_agency = kept.agency_efficiency(agency)
+    by_income = kept.income_resolution(resolution, income)
+    hotspots = kept.complaint_hotspots(hours, income)
+    points = dashboard.income_scatter(by_income)
+    found = (
+        by_agency,
+        by_income,
+        hotspots,
+        points,
+        dashboard.income_trendline(points),
+        dashboard.avg_resolution_by_borough(by_agency),
+        dashboard.agency_ranking(by_agency),
+        dashboard.types_by_borough(hotspots),
+    )
+    return dict(zip(MARTS, found, strict=True))
 
 
 MARTS = (
@@ -273,7 +376,7 @@ MARTS = (
 
 
 def publish_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """Rebuild the marts, and offer them and the stored layers as views of this session."""
+    """Bring the marts up to date, and offer them and the stored layers as views of this session."""
     build_marts(spark, lake)
     staged = staged_complaints(spark, lake)
     income = spark.read.schema(schemas.STAGED_INCOME).parquet(lake.staged_income)
@@ -284,7 +387,7 @@ def publish_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         "stg_median_income": income,
         "complaints_snapshots": read_history(spark, lake.history, schemas.HISTORY),
     }
-    tables |= {name: spark.read.parquet(f"{lake.marts}/{name}") for name in MARTS}
+    tables |= read_marts(spark, lake)
     return {name: register_mart(name, table) for name, table in tables.items()}
 
 

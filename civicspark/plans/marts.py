@@ -14,6 +14,7 @@ from civicspark.operators.ranking import most_frequent, top_k
 from civicspark.plans.staging import positive_income
 
 PLACE_MONTH = ["complaint_type", "city", "borough", "created_month"]
+ZIP_GRAIN = [*PLACE_MONTH, "hour_of_day", "incident_zip"]
 
 
 def agency_efficiency(staged: DataFrame) -> DataFrame:
@@ -39,17 +40,19 @@ def income_resolution(staged: DataFrame, income: DataFrame) -> DataFrame:
         F.count("due_date").alias("total_due_date"),
         F.sum("SLA_days").alias("total_sla_days"),
     )
+    return with_zip_income(measures, income)
+
+
+def with_zip_income(measures: DataFrame, income: DataFrame) -> DataFrame:
+    """Measures per ZIP code beside its median income; ZIP codes without a usable one are dropped."""
     return with_income(measures, positive_income(income), "zip_code").select(
         *measures.columns, "median_income"
     )
 
 
-def hourly_profile(staged: DataFrame, income: DataFrame) -> DataFrame:
-    """Requests from ZIP codes with a usable income, counted per type, place, month and hour
-    of day, with the sum of the incomes.  One pass over the requests serves all of the
-    hotspot mart."""
-    grain = [*PLACE_MONTH, "hour_of_day"]
-    per_zip = (
+def zip_profile(staged: DataFrame) -> DataFrame:
+    """Requests counted per type, place, month, hour of day and ZIP code."""
+    return (
         staged.select(
             "complaint_type",
             "city",
@@ -59,17 +62,29 @@ def hourly_profile(staged: DataFrame, income: DataFrame) -> DataFrame:
             fn.month_of(F.col("created_date")).alias("created_month"),
             F.hour("created_date").alias("hour_of_day"),
         )
-        .groupBy(*grain, "incident_zip")
+        .groupBy(*ZIP_GRAIN)
         .agg(F.count("*").alias("n"), F.count("unique_key").alias("n_keyed"))
     )
+
+
+def valued_profile(per_zip: DataFrame, income: DataFrame) -> DataFrame:
+    """Those of the counted requests that come from ZIP codes with a usable income, folded to hours,
+    with the sum of the incomes."""
     valued = with_income(per_zip, positive_income(income))
-    return valued.groupBy(*grain).agg(
+    return valued.groupBy(*PLACE_MONTH, "hour_of_day").agg(
         F.sum("n").alias("n"),
         F.sum("n_keyed").alias("n_keyed"),
         F.sum(F.col("n") * F.col("median_income")).alias("income_sum"),
     )
 
 
+def hourly_profile(staged: DataFrame, income: DataFrame) -> DataFrame:
+    """Requests from ZIP codes with a usable income, counted per type, place, month and hour
+    of day, with the sum of the incomes.  One pass over the requests serves all of the
+    hotspot mart."""
+    return valued_profile(zip_profile(staged), income)
+
+
 def monthly_profile(hourly: DataFrame) -> DataFrame:
     """The hourly counts folded to type, place and month, with the busiest hour of day."""
     return hourly.groupBy(*PLACE_MONTH).agg(
@@ -87,7 +102,12 @@ def complaint_hotspots(staged: DataFrame, income: DataFrame, k: int = 5) -> Data
 
     Both the choice of the types and the result read the folded counts; their plans are equal up
     to there, so Spark scans and shuffles the requests once."""
-    monthly = monthly_profile(hourly_profile(staged, income))
+    return hotspots_of(hourly_profile(staged, income), k)
+
+
+def hotspots_of(hourly: DataFrame, k: int = 5) -> DataFrame:
+    """The hotspot mart from the hourly counts."""
+    monthly = monthly_profile(hourly)
     types = top_k(monthly, "complaint_type", k, weight=F.col("n"))
     placed = F.col("city").isNotNull() & F.col("borough").isNotNull()
     dated = F.col("created_month").isNotNull()
