@@ -58,7 +58,9 @@ def main(given: list[str] | None = None) -> None:
         case "median_income":
             jobs.load_income(spark, lake)
         case "staging":
-            left_out = jobs.build_staging(spark, lake, args.full_refresh, args.granularity)
+            left_out = jobs.build_staging(
+                spark, lake, args.full_refresh, args.granularity, run
+            )
             print(f"rows left out for want of a key: {left_out.count()}")
         case "test":
             print(jobs.check_staging(spark, lake, args.strict))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from civicspark.operators.dedup import latest_per_key
 from civicspark.operators.joins import split_matched
 from civicspark.session import drop_staged, remove_folders, stage_table
+from civicspark.sinks.keys import Places
 from civicspark.sinks.tables import (
     CLUSTER_COLUMNS,
     LAYOUT_COLUMN,
@@ -78,9 +79,13 @@ def merge_into(
     granularity: str = "day",
     cluster: Sequence[str] = CLUSTER_COLUMNS,
     changes: str | None = None,
+    places: Places | None = None,
+    merged: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Merge ``batch`` into the laid-out Parquet table at ``path``, creating it if need be.
-    ``changes`` names a folder that gets the ``signed_images`` before the table is changed.
+    ``changes`` names a folder that gets the ``signed_images`` before the table is changed, ``places``
+    says in which partitions the keys of a batch lie, without which the table's keys are scanned,
+    and ``merged`` gets the stored batch when it has been merged.
 
     Only partitions that receive batch rows, or hold an older version of a batch key, are
     rewritten; a changed creation date thus moves a row.  Merging the same batch again changes
@@ -91,7 +96,10 @@ def merge_into(
         write_layout(newest_batch, path, instant, granularity, cluster)
         return
     name = stage_table(with_layout_column(newest_batch, instant, granularity), "batch")
-    merge_stored(spark, path, spark.table(name), key, newest, newer_only, cluster, changes)
+    stored = spark.table(name)
+    merge_stored(spark, path, stored, key, newest, newer_only, cluster, changes, places)
+    if merged:
+        merged(stored)
     drop_staged(spark, name)
 
 
@@ -104,15 +112,20 @@ def merge_stored(
     newer_only: bool = False,
     cluster: Sequence[str] = CLUSTER_COLUMNS,
     changes: str | None = None,
+    places: Places | None = None,
 ) -> None:
     """As ``merge_into`` for a stored batch that holds each key once and has the layout column."""
     target = read_if_present(spark, path, batch.schema)
     if target is None:
         laid_out(batch, cluster).write.partitionBy(LAYOUT_COLUMN).parquet(path)
         return
-    # Only the key and the partition value are read to find the partitions concerned.
-    _, replaced = split_matched(target.select(key, LAYOUT_COLUMN), batch, key)
-    touched = _partition_values(replaced.select(LAYOUT_COLUMN).union(batch.select(LAYOUT_COLUMN)))
+    if places:
+        held = places(batch)
+    else:
+        # Only the key and the partition value are read to find the partitions concerned.
+        _, replaced = split_matched(target.select(key, LAYOUT_COLUMN), batch, key)
+        held = replaced.select(LAYOUT_COLUMN)
+    touched = _partition_values(held.union(batch.select(LAYOUT_COLUMN)))
     if not touched:
         return
     affected = target.filter(in_partitions(LAYOUT_COLUMN, touched))

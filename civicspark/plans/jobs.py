@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from civicspark import schemas
 from civicspark.operators import quality
@@ -26,6 +26,7 @@ from civicspark.plans.staging import (
     stage_income,
 )
 from civicspark.session import own_session, prepare, remove_folders, size_shuffles
+from civicspark.sinks.keys import KeyTable
 from civicspark.sinks.tables import (
     LAYOUT_COLUMN,
     append_silver,
@@ -63,6 +64,8 @@ class Lake:
         self.staged_mark = f"{root}/metadata/marks/staged"
         self.history_mark = f"{root}/metadata/marks/history"
         self.changes = f"{root}/staging/changes"
+        self.keys = f"{root}/staging/keys"
+        self.keyless_mark = f"{root}/metadata/marks/keyless"
         self.changes_mark = f"{root}/metadata/marks/changes"
         self.rebuilt_mark = f"{root}/metadata/marks/rebuilt"
         self.kept_mark = f"{root}/metadata/marks/kept"
@@ -109,9 +112,10 @@ def extract_lines(
 ) -> dict[str, int]:
     """Store the raw JSON lines of ``source`` that are past the cursor, with all their fields, then
     move the cursor.  Lines that do not parse, or that lack one of the two times the cursor needs,
-    are stored apart, once per run.  Returns the numbers of both."""
+    are stored apart with the file they are from, those that an earlier run has stored not again.
+    Returns the numbers of rows stored and of lines that were rejected, known ones included."""
     cursor = read_state(spark, lake.state, first_cursor)
-    lines = read_lines(spark, source)
+    lines = read_lines(spark, source, "file")
     placed = lines.filter(~rejected_line()).select(
         F.col("`record`.`:updated_at`").alias(":updated_at"),
         F.col("record.created_date").alias("created_date"),
@@ -121,10 +125,13 @@ def extract_lines(
     rows.select("value").write.mode("overwrite").text(
         f"{lake.bronze_complaints}/data_{run}.ndjson", compression=compression
     )
-    bad, counted = lines.filter(rejected_line()).select("value"), Observation()
-    bad.observe(counted, F.count(F.lit(1)).alias("rejected")).write.mode("overwrite").text(
-        f"{lake.rejected}/run={run}", compression=compression
-    )
+    bad, counted = lines.filter(rejected_line()).select("file", "value"), Observation()
+    bad = bad.observe(counted, F.count(F.lit(1)).alias("rejected"))
+    if path_exists(spark, lake.rejected):
+        known = spark.read.schema("file string, value string, run string").json(lake.rejected)
+        known = known.filter(F.col("run") != run).select("file", "value")
+        bad = bad.join(known, ["file", "value"], "left_anti")
+    bad.write.mode("overwrite").json(f"{lake.rejected}/run={run}", compression=compression)
     fetched = seen.get["fetched"]
     if fetched:
         write_state(spark, lake.state, seen.get["next_cursor"])
@@ -152,10 +159,14 @@ def load_income(spark: SparkSession, lake: Lake) -> None:
 
 
 def build_staging(
-    spark: SparkSession, lake: Lake, full_refresh: bool = False, granularity: str = "day"
+    spark: SparkSession,
+    lake: Lake,
+    full_refresh: bool = False,
+    granularity: str = "day",
+    run: str | None = None,
 ) -> DataFrame:
-    """Bring the staged tables up to date and return the Silver rows left out for want of a
-    key.  An incremental run merges what was ingested since the last one; a full refresh, or a
+    """Bring the staged tables up to date and return the Silver rows left out for want of a key,
+    which are stored under the run's name for the checks.  An incremental run merges what was ingested since the last one; a full refresh, or a
     first run, rebuilds the table.
 
     How far a run has come is stored beside the table, after it, so a run that died is repeated.
@@ -184,11 +195,41 @@ def build_staging(
             UPDATED,
             granularity=granularity,
             changes=None if rebuilt else changes_of(lake, number),
+            places=None if rebuilt else _keys(spark, lake).places,
+            merged=lambda batch: _keys(spark, lake).append(batch, number),
         )
+    if rebuilt:
+        _keys(spark, lake, number)
     _write_number(spark, lake.changes_mark, number)
     overwrite_table(stage_income(spark.read.parquet(lake.silver_income)), lake.staged_income)
+    run = run or f"merge{number}"
+    keyless(fresh).write.mode("overwrite").parquet(_keyless_folder(lake, run))
+    write_state(spark, lake.keyless_mark, f"{number:012d}/{run}")
     _advance(spark, lake.staged_mark, fresh)
-    return keyless(fresh)
+    return left_out_of_staging(spark, lake)
+
+
+def _keyless_folder(lake: Lake, run: str) -> str:
+    return f"{lake.keyless}/run={run}"
+
+
+def left_out_of_staging(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    """The rows that the last ``build_staging`` left out; None if there has been none."""
+    run = read_state(spark, lake.keyless_mark, "").partition("/")[2]
+    if not run:
+        return None
+    return spark.read.schema(schemas.SILVER_COMPLAINT).parquet(_keyless_folder(lake, run))
+
+
+def _keys(spark: SparkSession, lake: Lake, rebuilt: int | None = None) -> KeyTable:
+    """The staged table's keys.  They are taken from the whole table when it was ``rebuilt`` (by the
+    run of that number), or when there are none yet."""
+    keys = KeyTable(spark, lake.keys, KEY, LAYOUT_COLUMN)
+    if rebuilt is not None or not keys.exists():
+        layout = StructType([StructField(KEY, StringType()), StructField(LAYOUT_COLUMN, DateType())])
+        number = _number(spark, lake.changes_mark) if rebuilt is None else rebuilt
+        keys.rebuild(spark.read.schema(layout).parquet(lake.staged_complaints), number)
+    return keys
 
 
 def _with_sign() -> StructType:
@@ -209,7 +250,11 @@ def finish_merge(spark: SparkSession, lake: Lake) -> None:
     if number > _number(spark, lake.rebuilt_mark):
         images = spark.read.parquet(folder)
         batch = images.filter(F.col(SIGN) > 0).drop(SIGN)
-        merge_stored(spark, lake.staged_complaints, batch, KEY, UPDATED)
+        keys = _keys(spark, lake)
+        merge_stored(
+            spark, lake.staged_complaints, batch, KEY, UPDATED, places=keys.places
+        )
+        keys.append(batch, number)
     _write_number(spark, lake.changes_mark, number)
 
 
@@ -266,8 +311,12 @@ def staging_failures(
 def check_staging(
     spark: SparkSession, lake: Lake, strict: bool = False, left_out: DataFrame | None = None
 ) -> dict[str, int]:
-    """The counts of ``staging_failures``; raises when one is not zero."""
-    return quality.gate(*staging_failures(own_session(spark), lake, left_out, strict))
+    """The counts of ``staging_failures``; raises when one is not zero.  Unless ``left_out`` is given,
+    the rows count that the last ``build_staging`` left out."""
+    session = own_session(spark)
+    if left_out is None:
+        left_out = left_out_of_staging(session, lake)
+    return quality.gate(*staging_failures(session, lake, left_out, strict))
 
 
 def take_history(
@@ -410,10 +459,7 @@ def run_daily(
         spark, lake.bronze_complaints, lake.silver_complaints, lake.silver_checkpoint, at=at
     ).awaitTermination()
     load_income(spark, lake)
-    build_staging(spark, lake, full_refresh, granularity).write.mode("overwrite").parquet(
-        f"{lake.keyless}/run={run}"
-    )
-    left_out = spark.read.schema(schemas.SILVER_COMPLAINT).parquet(f"{lake.keyless}/run={run}")
+    left_out = build_staging(spark, lake, full_refresh, granularity, run)
     check_staging(spark, lake, strict, left_out)
     take_history(spark, lake, run, full_refresh, granularity)
     return publish_marts(spark, lake)

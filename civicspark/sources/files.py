@@ -31,9 +31,10 @@ def read_complaints(
     return reader.json(path)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, file: str | None = None) -> DataFrame:
     """Every line that is not empty (``value``) and what it holds under the declared schema
-    (``record``), with the text of the line if it did not parse cleanly.
+    (``record``), with the text of the line if it did not parse cleanly; under the name ``file``
+    also the path of its file.
 
     Lines are parsed as text: a JSON scan only parses the columns a query uses, and would not
     notice a bad value in another."""
@@ -41,8 +42,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([*schemas.RAW_COMPLAINT.fields, corrupt])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    source = [F.col("_metadata.file_path").alias(file)] if file else []
     return lines.filter(F.trim("value") != "").select(
-        "value", F.from_json("value", schema, options).alias("record")
+        *source, "value", F.from_json("value", schema, options).alias("record")
     )
 
 

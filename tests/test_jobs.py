@@ -144,6 +144,17 @@ def test_malformed_lines_are_kept_apart_and_counted(spark, lake, folder):
     assert sorted(r["unique_key"] for r in stored) == ["1", "2"] and good in stored
     assert jobs.read_state(spark, lake.state) == "2025-03-01T00:00:00.000900Z"
     assert jobs.extract_lines(spark, lake, f"{folder}/api", "two") == {"fetched": 0, "rejected": 2}
+    # the same lines are not stored twice, those of another file are
+    lines(f"{folder}/api", "more", record("4", "Open", "2025-03-04"))
+    with open(f"{folder}/api/more.ndjson", "a") as out:
+        out.write("{bad\n")
+    assert jobs.extract_lines(spark, lake, f"{folder}/api", "three") == {"fetched": 1, "rejected": 3}
+    rejected = spark.read.json(lake.rejected)
+    assert rejected.filter("run = 'two'").count() == 0 and rejected.count() == 3
+    assert rejected.filter("value = '{bad'").select("file").distinct().count() == 2
+    # a run that is repeated under its name stores what it stored before
+    jobs.extract_lines(spark, lake, f"{folder}/api", "three")
+    assert spark.read.json(lake.rejected).count() == 3
 
 
 def test_a_late_old_file_is_loaded(spark, lake):
@@ -262,6 +273,18 @@ def test_command_line_steps(spark, lake, folder, capsys):
         main(["--task", "extract", "--root", folder])
 
 
+def test_the_test_step_sees_what_the_staging_step_left_out(spark, lake, folder):
+    from civicspark.__main__ import main
+
+    lines(f"{folder}/api", "page", record("1", "Open", "2025-03-01"), record(None, "Open", "2025-03-02"))
+    jobs.load_income(spark, lake)
+    main(["--task", "extract", "--root", folder, "--source", f"{folder}/api"])
+    for task in ("complaints", "staging"):
+        main(["--task", task, "--root", folder])
+    with pytest.raises(QualityError, match="'keyless': 1"):
+        main(["--task", "test", "--root", folder])
+
+
 def test_a_run_without_any_rows(spark, lake):
     empty = source(spark, DAY_ONE).limit(0)
     assert jobs.extract_complaints(spark, lake, empty, "run1") == 0

@@ -248,3 +248,72 @@ def test_marts_need_to_be_built_first(spark, lake):
     merge(spark, lake, [request(1, 1)])
     with pytest.raises(ValueError, match="not been built"):
         jobs.read_marts(spark, lake)
+
+
+# The key table -------------------------------------------------------------------------
+
+
+def month_files(lake, month):
+    return glob.glob(f"{lake.staged_complaints}/created_part={month}-01/*.parquet")
+
+
+def test_a_merge_reads_only_partitions_that_hold_its_keys(spark, lake):
+    merge(spark, lake, [
+        request(n, 1, created_date=f"2025-0{1 + n % 4}-05T00:00:00") for n in range(20)
+    ])
+    # the slice of a run starts with the day of the one before
+    merge(spark, lake, [request(4, 2)])
+    # a file that cannot be read stands for all that must not be
+    for path in month_files(lake, "2025-03"):
+        with open(path, "wb") as file:
+            file.write(b"nothing to read here")
+    # request 0 moves from January to February
+    merge(spark, lake, [request(0, 3, created_date="2025-02-07T00:00:00"), request(50, 3)])
+    rows = spark.read.parquet(lake.staged_complaints).filter("created_part <> '2025-03-01'")
+    found = {r.unique_key: r.created_date.month for r in rows.collect()}
+    assert found["0"] == 2 and found["50"] == 1 and len(found) == 16
+
+
+def test_the_key_table_is_not_shuffled(spark, folder):
+    from civicspark.sinks.keys import KeyTable
+
+    rows = spark.range(1000).selectExpr(
+        "CAST(id AS STRING) AS k", "DATE '2025-01-01' + CAST(id % 3 AS INT) AS p"
+    )
+    keys = KeyTable(spark, f"{folder}/keys", "k", "p")
+    keys.rebuild(rows, 1)
+    keys.append(rows.filter("k < '2'").withColumn("p", F.lit("2026-01-01").cast("date")), 2)
+    assert {r.p.year for r in keys.places(rows.filter("k = '1'")).collect()} == {2026}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = keys.places(rows)
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        # the batch is dealt to the buckets, and nothing else
+        assert final.count("Exchange hashpartitioning") == 1
+        assert "Bucketed: true" in final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_key_table_is_written_anew_after_many_merges(spark, lake, monkeypatch):
+    from civicspark.sinks import keys
+
+    monkeypatch.setattr(keys, "MOST_MERGES", 2)
+    for day in range(1, 7):
+        merge(spark, lake, [request(1, day, created_date=f"2025-0{day}-05T00:00:00")])
+    assert [(r.unique_key, r.created_date.month) for r in
+            jobs.staged_complaints(spark, lake).collect()] == [("1", 6)]
+    table = keys.KeyTable(spark, lake.keys, "unique_key", "created_part").table()
+    assert table.count() < 6
+    assert len(glob.glob(f"{lake.keys}/table=*")) == 1
+
+
+def test_a_table_without_keys_gets_them(spark, lake):
+    import shutil
+
+    merge(spark, lake, [request(1, 1)])
+    shutil.rmtree(lake.keys)
+    merge(spark, lake, [request(1, 2, created_date="2025-02-05T00:00:00")])
+    assert jobs.staged_complaints(spark, lake).count() == 1
