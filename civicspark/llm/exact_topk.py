@@ -16,8 +16,8 @@ Queries come in blocks of bounded size, which are sent to all tasks.  For each b
 3. the batches' best are ranked together.
 
 The result does not depend on the pruning.  Defined results: vectors that are null, empty, or hold
-null or non-finite components take no part; nor do components beyond ``LARGEST`` after
-scaling, whose products would not be exact.  Vectors of different length are not compared.
+null or non-finite components take no part.  Scores are exact however large the components; scaled
+components and scores that 64 bits cannot hold count as the nearest number that they can.  Vectors of different length are not compared.
 A row whose id is null is a candidate only and ranks last among ties.  Every row is a candidate of
 its own, also if it repeats another.  Rows with the id of a query are the query's own and not its
 candidates; if they differ, their best together are that query's."""
@@ -42,8 +42,8 @@ HEAD = 2048
 LEAD = 16
 #: Vectors scored at a time.
 STEP = 512
-#: Sums of this many products of components stay exact in 64 bits: 2**62 / LARGEST**2.
-LARGEST = 2**26
+#: The largest score; no score is smaller than its negative.
+MOST = 2**63 - 1
 
 _VECTORS = "id long, own boolean, ints array<long>"
 _SCORES = "query_id long, vec_id long, score long"
@@ -56,7 +56,7 @@ def integers(vectors: DataFrame, id_: str, vector: str, scale: int, query: Colum
         F.col(vector),
         lambda x: x.isNotNull()
         & ~F.isnan(x.cast("double"))
-        & (F.abs(x.cast("double")) * scale < LARGEST),
+        & (F.abs(x.cast("double")) != math.inf),
     )
     usable = F.col(vector).isNotNull() & (F.size(vector) > 0) & finite
     return vectors.filter(F.coalesce(usable, F.lit(False))).select(
@@ -112,11 +112,18 @@ def _rest(length: np.ndarray, lead: np.ndarray) -> np.ndarray:
 
 
 def _exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products without rounding: by floats while all sums are whole in 53 bits."""
-    most = np.abs(queries).max(initial=0) * np.abs(rows).max(initial=0) * queries.shape[1]
-    if most < 2**53:
+    """Inner products without rounding: by floats while all sums are whole in 53 bits, by 64-bit
+    numbers while they fit, and one by one where components are so large that they may not."""
+    most_q = np.abs(queries.astype(float)).max(axis=1, initial=0)
+    most_r = np.abs(rows.astype(float)).max(axis=1, initial=0)
+    width = queries.shape[1]
+    if most_q.max(initial=0) * most_r.max(initial=0) * width < 2**53:
         return (queries.astype(float) @ rows.T.astype(float)).astype(np.int64)
-    return queries @ rows.T
+    out = queries @ rows.T
+    for q, r in np.argwhere(np.outer(most_q, most_r) * width >= 2**62):
+        total = sum(a * b for a, b in zip(queries[q].tolist(), rows[r].tolist(), strict=True))
+        out[q, r] = max(-MOST, min(MOST, total))
+    return out
 
 
 def _best(q: np.ndarray, v: np.ndarray, s: np.ndarray, none: np.ndarray, k: int) -> np.ndarray:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 from collections import Counter
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -217,6 +219,38 @@ def text_of(page):
     return html_extraction.main_text(html_extraction.parse(page), set())
 
 
+SCALED = "vec_id long, embedding array<double>"
+
+
+@pytest.mark.parametrize("step", [512, 2])
+def test_top_k_of_large_components(spark, monkeypatch, step):
+    """Any finite component takes part; what 64 bits cannot hold is the nearest that they can."""
+    monkeypatch.setattr(exact_topk, "STEP", step)
+    rng = random.Random(4)
+    values = [300000.0, -262144.0, 2.0**40, -(2.0**50), 1e300, -1e300, 1.0, -0.5, 0.0]
+    rows = [(50, [300000.0, 1.0]), (51, [300000.0, 1.0]), (52, [299999.5, 1.0])]
+    rows += [(100 + i, [rng.choice(values), rng.choice(values)]) for i in range(60)]
+    rows += [(200, [float("inf"), 1.0]), (201, [float("nan"), 1.0]), (202, [None, 1.0]), (203, None)]
+
+    def whole(x):
+        return max(-(2**63), min(2**63 - 1, math.floor(256 * x))) if abs(x) < 1e290 else (
+            2**63 - 1 if x > 0 else -(2**63)
+        )
+
+    kept = [(i, [whole(x) for x in v]) for i, v in rows if i < 200]
+    wanted = set()
+    for query, own in kept:
+        if query % 10 == 0:
+            scores = sorted(
+                (-max(-exact_topk.MOST, min(exact_topk.MOST, sum(map(mul, own, v)))), i)
+                for i, v in kept if i != query
+            )
+            wanted |= {(query, r, i, -s) for r, (s, i) in enumerate(scores[:5], start=1)}
+    frame = spark.createDataFrame(rows, SCALED)
+    found = exact_topk.top_k(frame, F.col("vec_id") % 10 == 0).collect()
+    assert {tuple(row) for row in found} == wanted
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
