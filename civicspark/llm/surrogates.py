@@ -68,6 +68,8 @@ KEPT = {
     "name": rf"^{_FORMS}",
 }
 ROUNDS = 4
+#: Draws until a keyed number stands in for an entity all of whose surrogates are taken.
+MOST_DRAWS = 24
 #: Characters that are permuted together; longer parts are permuted piece by piece.
 LONGEST = 128
 
@@ -328,9 +330,12 @@ def _draw(table: DataFrame, key: str) -> DataFrame:
         .when(hexadecimal, permuted(core, seed, (_HEX,)))
         .otherwise(permuted(core, seed))
     )
-    # of what no alphabet covers, a keyed number stands in
+    # Only of what no alphabet covers, or what finds nothing free again and again, a keyed number
+    # stands in.  A surrogate that happens to be the entity itself is drawn again like any other.
+    moving = F.when(F.col("kind") == "email", F.regexp_replace(core, r"\.\p{L}+$", "")).otherwise(core)
+    still = F.regexp_replace(F.lower(moving), f"[{''.join(ALPHABETS)}]+", "") == F.lower(moving)
     new = F.when(
-        F.lower(core) == F.lower(new),
+        (still & (F.lower(core) == F.lower(new))) | (F.col("attempt") >= MOST_DRAWS),
         F.concat(F.lit("x"), F.substring(F.sha2(F.concat_ws("|", seed, core), 256), 1, 12)),
     ).otherwise(new)
     drawn = table.withColumn("new", new)
@@ -383,6 +388,49 @@ def surrogate_table(matches: DataFrame, key: str) -> DataFrame:
         )
 
 
+def _mentions(alone: Column) -> Column:
+    """What single names become, and the pattern that finds them: as they are written, or all in
+    capitals.  A word in small letters is not taken for a name."""
+    written = F.transform(alone, lambda n: F.struct(n["old"].alias("old"), n["new"].alias("new")))
+    loud = F.transform(
+        alone, lambda n: F.struct(F.upper(n["old"]).alias("old"), F.upper(n["new"]).alias("new"))
+    )
+    both = F.concat(written, loud)
+    # Of equal names the first one counts; longer names are tried first.
+    olds = F.array_distinct(F.transform(both, lambda n: n["old"]))
+    first = F.transform(olds, lambda o: F.get(F.filter(both, lambda n: n["old"] == o), F.lit(0)))
+    longest = F.sort_array(
+        F.transform(olds, lambda o: F.struct(F.length(o).alias("n"), o.alias("old"))), asc=False
+    )
+    quoted = F.transform(longest, lambda o: F.concat(F.lit(r"\Q"), o["old"], F.lit(r"\E")))
+    return F.struct(
+        F.map_from_entries(first).alias("new"),
+        F.concat(
+            F.lit(r"((?<![\p{L}\p{N}])(?:"), F.array_join(quoted, "|"), F.lit(r")(?![\p{L}\p{N}]))")
+        ).alias("pattern"),
+    )
+
+
+def _replaced(piece: Column, known: Column) -> Column:
+    """The text with all known names replaced in one pass, so that no surrogate is replaced again."""
+    between = F.split(piece, known["pattern"], -1)
+    found = F.regexp_extract_all(piece, known["pattern"], F.lit(0))
+    swapped = _let(
+        F.struct(between.alias("between"), found.alias("found")),
+        lambda s: F.array_join(
+            F.transform(
+                s["between"],
+                lambda text, i: F.concat(
+                    text,
+                    F.coalesce(F.try_element_at(known["new"], F.get(s["found"], i)), F.lit("")),
+                ),
+            ),
+            "",
+        ),
+    )
+    return F.when(F.size(F.map_keys(known["new"])) == 0, piece).otherwise(swapped)
+
+
 def replace(
     documents: DataFrame, key: str, text: str = "text"
 ) -> tuple[DataFrame, tuple[str, str]]:
@@ -405,18 +453,6 @@ def replace(
     )
     joined = with_any.join(by_row, with_any[row] == by_row["row"])
     pieces = F.split(source, ANY, -1)
-    spliced = _let(
-        pieces,
-        lambda p: F.array_join(
-            F.transform(
-                p,
-                lambda piece, i: F.concat(
-                    piece, F.coalesce(F.get(F.col(news), i)["surrogate"], F.lit(""))
-                ),
-            ),
-            "",
-        ),
-    )
     # single names of the persons found, with what became of them
     persons = F.filter(F.col(news), lambda m: m["kind"] == "name")
     names = F.flatten(
@@ -436,11 +472,17 @@ def replace(
     alone = F.filter(
         names, lambda n: ~n["old"].rlike(rf"^(?:{_PARTICLES}|\p{{Lu}}\.|\p{{Lu}})$") | (n["old"] == n["whole"])
     )
-    named_alone = F.aggregate(
-        alone,
-        spliced,
-        lambda t, n: F.regexp_replace(
-            t, F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])\Q"), n["old"], F.lit(r"\E(?![\p{L}\p{N}])")), n["new"]
+    spliced = _let(
+        _mentions(alone),
+        lambda known: F.array_join(
+            F.transform(
+                pieces,
+                lambda piece, i: F.concat(
+                    _replaced(piece, known),
+                    F.coalesce(F.get(F.col(news), i)["surrogate"], F.lit("")),
+                ),
+            ),
+            "",
         ),
     )
     types = F.transform(
@@ -449,7 +491,7 @@ def replace(
     )
     columns = documents.columns
     changed = joined.select(
-        *[(named_alone.alias(c) if c == text else named(c)) for c in columns],
+        *[(spliced.alias(c) if c == text else named(c)) for c in columns],
         F.size(news).cast("long").alias(count),
         F.map_from_entries(types).alias(kinds),
     )

@@ -211,7 +211,7 @@ def test_collisions_are_drawn_again(spark):
 
 def test_queries_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries())
-    assert numbers == list(range(1, 11)) and set(oracle_sql()) <= set(queries())
+    assert numbers == list(range(1, 14)) and set(oracle_sql()) <= set(queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_copies", "decontamination", "personal_data", "mixing"
     ]
@@ -262,3 +262,48 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, folder):
         assert out.count() == 0
         if name != "mixing":
             assert out.columns == docs.columns
+
+
+# Names and their mentions ---------------------------------------------------------------
+
+
+def with_surrogates(spark, *texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, _ = surrogates.replace(frame, "key")
+    return [r.text for r in found.orderBy("doc_id").collect()]
+
+
+def test_ordinary_words_are_not_taken_for_names(spark):
+    (text,) = with_surrogates(
+        spark, "Mr. Will Long said he will go a long way. Dr. May came in may. LONG and Long, not along."
+    )
+    first, last = text.split()[1:3]
+    may = text.split(". Dr. ")[1].split()[0]
+    assert {first, last, may}.isdisjoint({"Will", "Long", "May"})
+    assert text == (
+        f"Mr. {first} {last} said he will go a long way. Dr. {may} came in may. "
+        f"{last.upper()} and {last}, not along."
+    )
+
+
+def test_short_names_keep_their_form(spark):
+    names = ["Bo", "Jo", "Li", "Cy", "Ty", "Al", "Ed", "Su", "Ng", "Wu", "Xi", "Ola", "Ann", "Bob"]
+    texts = [f"Mr. {name} left." for name in names]
+    for name, text in zip(names, with_surrogates(spark, *texts)):
+        new = text.removeprefix("Mr. ").removesuffix(" left.")
+        assert len(new) == len(name) and new.isalpha() and new[0].isupper() and new != name
+
+
+def test_no_surrogate_is_replaced_again(spark):
+    people = ["Mr. Tom Bell", "Mr. Sam Reed", "Mr. Max Wood", "Mr. Jim Dunn"]
+    text = " met ".join(people) + ". " + " ".join(p.split()[-1] for p in people)
+    (found,) = with_surrogates(spark, text)
+    whole, alone = found.split(". ", 4)[-1], found.rsplit(". ", 1)[1].split()
+    lasts = [part.split()[1] for part in found.rsplit(". ", 1)[0].split("Mr. ")[1:]]
+    assert whole and alone == lasts and len(set(lasts)) == 4
+
+
+def test_quoted_signs_and_hyphens_in_names(spark):
+    (text,) = with_surrogates(spark, "Frau Anna-Maria O'Neil kam. Anna-Maria und O'Neil, nicht Anna.")
+    first, last = text.split()[1:3]
+    assert text == f"Frau {first} {last} kam. {first} und {last}, nicht Anna."
