@@ -14,6 +14,7 @@ TABLES = (
 # Spark type names for the types SQL results may have.
 TYPES = {
     "BIGINT": "bigint",
+    "BOOLEAN": "boolean",
     "DATE": "date",
     "DOUBLE": "double",
     "INTEGER": "int",
