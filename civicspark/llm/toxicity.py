@@ -3,7 +3,7 @@
 Decoding.  Words with leetspeak, letters spelled out one by one, and drawn-out letters become a
 character lattice: every place offers the letters it may stand for (or none), each at a price, and
 every gap may end a word or not.  Viterbi search under a character trigram model and the usual words,
-both learned from the sample, finds the cheapest reading.  Clean words have a single reading and are
+both learned from the texts, finds the cheapest reading.  Clean words have a single reading and are
 left as they are.  When texts are scored, lattices without any reading that a rule could cover are not
 searched, which changes no score.
 
@@ -13,17 +13,18 @@ beginnings, each judged only by words that no earlier rule covers, so that a beg
 blamed for one bad word.  A rule must hold in mostly toxic texts, more often than chance among as
 many candidates would bring; words that defy a rule on beginnings become exceptions.  The evidence
 of a text is the sum of the log odds of the rules that hold, and a logistic curve fitted to the
-sample turns it into the score.
+labelled texts turns it into the score.
 
-Copies and near copies in the sample (texts whose three words of smallest hash are the same) count as
-one text, or the words of a toxic text that is often copied would all be rules.
+Copies and near copies among the labelled texts (whose three smallest hashes of words are the same)
+count as one text, or the words of a toxic text that is often copied would all be rules.
 
-Learning takes a bounded sample of the labelled rows (``SAMPLE`` of those that ``learn`` marks, by
-hash of the id); its bound does not depend on the size of the corpus.  Scoring covers whole texts and
-all rows.
+Learning takes all labelled rows that ``learn`` marks, and whole texts; the character model and the
+usual words, which need no label, come from all texts that it marks.  What is counted stays in Spark;
+the driver gets the character model, the parts frequent enough to become rules, and the rules.  Texts
+are not shuffled for it, only their different words are.  Scoring covers whole texts and all rows.
 
 Defined results: null, empty and word-less texts get the score of a text without features; if
-the sample has one class only, everything gets that class's score (0 or 1), and 0 if it is empty.
+the labels have one class only, everything gets that class's score (0 or 1), and 0 if there are none.
 Rows with a null doc_id or label are not learned from."""
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +44,15 @@ from civicspark.llm.frames import cut, fresh, named
 from civicspark.llm.language_id import crc32_fold
 from civicspark.llm.tokens import CHUNK, slices, text_bytes
 
-#: Labelled rows to learn from, at most.
-SAMPLE = 24_000
-#: Parts of words judged at a time and character triples kept, at most, the most frequent first.
-PARTS = 400_000
+#: Size of the decoder's model: character triples and words that it knows, at most, those that are the
+#: most frequent in all texts to learn from.
 TRIPLES = 60_000
-#: Words of the sample that the decoder knows, at most, the most frequent first.
 WORDS = 30_000
+#: Different parts that a task counts before it hands them on.
+_COUNTED = 200_000
+#: Numbers above this one are not told apart when the least number of a frequent part is looked for.
+_FREQUENT = 50_000
+_CODEC = pa.Codec("zstd", 1)
 #: First letters of a word that may be a rule, longest first.
 HEADS = (6, 5, 4, 3)
 
@@ -413,13 +416,27 @@ def _curve(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     return slope, offset
 
 
-def _triples(words: Iterable[str]) -> Counter:
-    counts: Counter[str] = Counter()
-    for word in words:
-        if len(word) <= _LONGEST:
-            padded = f"^^{word}$"
-            counts.update(padded[i : i + 3] for i in range(len(word) + 1))
-    return counts
+def _triples(words: Iterable[str] | dict[str, int]) -> Counter:
+    """Character triples of the words, as often as each word counts."""
+    weights = words if isinstance(words, dict) else Counter(words)
+    used = [word for word in weights if len(word) <= _LONGEST]
+    if not used:
+        return Counter()
+    lengths = np.fromiter(map(len, used), np.int64, len(used)) + 3
+    own = np.frombuffer("".join(f"^^{word}$" for word in used).encode("utf-32-le"), np.uint32)
+    own = own.astype(np.uint64)
+    # a word's last two places begin no triple
+    ends = np.cumsum(lengths)
+    begins = np.ones(len(own), bool)
+    begins[ends - 1] = begins[ends - 2] = False
+    at = np.flatnonzero(begins)
+    keys, which = np.unique(own[at] << 42 | own[at + 1] << 21 | own[at + 2], return_inverse=True)
+    of_words = np.fromiter((weights[word] for word in used), np.int64, len(used))
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, which, np.repeat(of_words, lengths - 2))
+    parts = np.stack([keys >> 42, keys >> 21 & 0x1FFFFF, keys & 0x1FFFFF], 1).astype(np.uint32)
+    text = parts.tobytes().decode("utf-32-le")
+    return Counter({text[3 * i : 3 * i + 3]: n for i, n in enumerate(sums.tolist())})
 
 
 def _tail(bad: int, n: int, share: float) -> float:
@@ -471,142 +488,225 @@ def _counted(counts: Counter) -> pa.RecordBatch:
     )
 
 
-def _most(summed: DataFrame, most: int) -> dict[str, int]:
-    return dict(map(tuple, summed.orderBy(F.col("n").desc(), "part").limit(most).collect()))
+def _packed(text: bytes) -> bytes:
+    """Different words of a text, a space apart, in a short form; they are shuffled and stored."""
+    return len(text).to_bytes(8, "little") + _CODEC.compress(text, asbytes=True)
 
 
-def _total(counted: DataFrame, most: int, least: int = 1) -> dict[str, int]:
-    """The most frequent parts with their numbers."""
-    summed = counted.groupBy("part").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return _most(summed, most)
+def _unpacked(packed: bytes) -> set[str]:
+    length = int.from_bytes(packed[:8], "little")
+    return set(_CODEC.decompress(packed[8:], length, asbytes=True).decode().split())
 
 
-def _texts_with(words: DataFrame, toxic: int, head: int, rules: dict, among: set | None) -> DataFrame:
-    """In how many texts of the class each part occurs in a word that no rule covers."""
-    sent = words.sparkSession.sparkContext.broadcast((rules, among))
+def _counting(words: DataFrame, parts_of: Callable) -> DataFrame:
+    """In how many toxic (``bad``) and other (``good``) texts each part occurs; ``parts_of`` makes a
+    function from a text's words to its different parts, once in every task."""
+
+    def handed_on(bad: Counter, good: Counter) -> pa.RecordBatch:
+        parts = list(bad.keys() | good.keys())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(parts, pa.string()),
+                pa.array([bad[p] for p in parts], pa.int64()),
+                pa.array([good[p] for p in parts], pa.int64()),
+            ],
+            ["part", "bad", "good"],
+        )
 
     def count(batches):
-        rules, among = sent.value
-        counts: Counter[str] = Counter()
+        parts, bad, good = parts_of(), Counter(), Counter()
         for batch in batches:
-            for own in batch.column("words"):
-                parts = {_part(w, head) for w in own.as_py() if _rule_of(w, rules) is None}
-                parts.discard(None)
-                counts.update(parts if among is None else parts & among)
-        yield _counted(counts)
+            marks = batch.column("toxic").to_pylist()
+            for own, toxic in zip(batch.column("words"), marks, strict=True):
+                (bad if toxic else good).update(parts(_unpacked(own.as_py())))
+                if len(bad) + len(good) > _COUNTED:
+                    yield handed_on(bad, good)
+                    bad, good = Counter(), Counter()
+        yield handed_on(bad, good)
+
+    counted = words.select("toxic", "words").mapInArrow(count, "part string, bad long, good long")
+    return counted.groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+
+
+def _uncovered(rules: Iterable[str]) -> Callable[[set[str]], set[str]]:
+    """A function that takes the words out that a rule covers."""
+    whole = {p for p in rules if not p.endswith("-")}
+    begun = {head: {p[:head] for p in rules if p.endswith("-") and len(p) == head + 1} for head in HEADS}
+    begun = {head: heads for head, heads in begun.items() if heads}
+
+    def left(words: set[str]) -> set[str]:
+        words = words - whole
+        for head, heads in begun.items():
+            words = {w for w in words if len(w) <= head or w[:head] not in heads}
+        return words
+
+    return left
+
+
+def _parts_left(rules: Iterable[str], head: int, among: Iterable[str] | None) -> Callable:
+    """The parts, of those ``among``, of words that no rule covers."""
+    left = _uncovered(rules)
+    whole = None if among is None else set(among)
+    heads = None if among is None else {p[:head] for p in among}
+
+    def parts(words: set[str]) -> set[str]:
+        if not head:
+            return left(words if whole is None else words & whole)
+        if heads is None:
+            longer = {w for w in words if len(w) > head}
+        else:
+            longer = {w for w in words if w[:head] in heads and len(w) > head}
+        return {f"{w[:head]}-" for w in left(longer)}
+
+    return parts
 
-    return words.filter(F.col("toxic") == toxic).mapInArrow(count, "part string, n long")
+
+def _new_rules(words: DataFrame, head: int, rules: dict[str, float], usual: float) -> dict[str, float]:
+    """Rules on words (``head`` 0) or on their first letters, judged by the words that no rule covers."""
+    context = words.sparkSession.sparkContext
+    known = context.broadcast(set(rules))
+    tried = cut(
+        _counting(words.filter("toxic = 1"), lambda: _parts_left(known.value, head, None))
+        .filter("bad > 1")
+        .select("part", "bad")
+    )
+    number = tried.count()
+    # A part in n toxic texts is by chance at least as probable as n toxic texts out of n, so those
+    # in fewer than these cannot become rules.
+    least = 2
+    while number * usual**least >= CHANCE:
+        least += 1
+    likely = dict(map(tuple, tried.filter(F.col("bad") >= least).collect()))
+    wanted = context.broadcast(set(likely))
+    others = dict(
+        map(
+            tuple,
+            _counting(
+                words.filter("toxic = 0"), lambda: _parts_left(known.value, head, wanted.value)
+            ).select("part", "good").collect(),
+        )
+    )
+    found = {}
+    for part, n in likely.items():
+        other = others.get(part, 0)
+        if n > other and _tail(n, n + other, usual) * number < CHANCE:
+            found[part] = (n + 0.5) / (n + other + 1)
+    return found
 
 
 def _whole_shares(words: DataFrame, rules: dict[str, float]) -> dict[str, float]:
     """Shares of the rules on beginnings over all words that begin so, but for the exceptions.  They
     were chosen by the words that nothing more particular covers, which may be few."""
     sent = words.sparkSession.sparkContext.broadcast(rules)
-    heads = {p for p, share in rules.items() if p.endswith("-") and share}
 
-    def count(batches, toxic: int):
-        rules = sent.value
-        counts: Counter[str] = Counter()
-        for batch in batches:
-            for own, mark in zip(batch.column("words"), batch.column("toxic"), strict=True):
-                if mark.as_py() == toxic:
-                    counts.update(
-                        {
-                            _part(w, head) for w in own.as_py() if rules.get(w) != 0.0
-                            for head in HEADS
-                        } & heads
-                    )
-        yield _counted(counts)
-
-    bad = _total(words.mapInArrow(lambda b: count(b, 1), "part string, n long"), PARTS)
-    good = _total(words.mapInArrow(lambda b: count(b, 0), "part string, n long"), PARTS)
+    def parts_of():
+        heads = {p for p, share in sent.value.items() if p.endswith("-") and share}
+        exceptions = {p for p, share in sent.value.items() if not share}
+
+        def parts(words: set[str]) -> set[str]:
+            left = words - exceptions
+            return {f"{w[:head]}-" for head in HEADS for w in left if len(w) > head} & heads
+
+        return parts
+
     return {
-        p: max(rules[p], (bad[p] + 0.5) / (bad[p] + good.get(p, 0) + 1)) for p in heads if p in bad
+        p: max(rules[p], (bad + 0.5) / (bad + good + 1))
+        for p, bad, good in _counting(words, parts_of).filter("bad > 0").collect()
     }
 
 
 def _exceptions(words: DataFrame, rules: dict[str, float]) -> dict[str, float]:
     """Words that a rule on beginnings covers but that mostly occur in texts that are not toxic."""
-    sent = words.sparkSession.sparkContext.broadcast(rules)
+    sent = words.sparkSession.sparkContext.broadcast(set(rules))
+
+    def parts_of():
+        left, rules = _uncovered(sent.value), sent.value
+        return lambda words: words - left(words) - rules
+
+    found = _counting(words, parts_of).filter("good > 1 AND good > bad")
+    return {row["part"]: 0.0 for row in found.select("part").collect()}
 
-    def count(batches, toxic: int):
-        rules = sent.value
-        counts: Counter[str] = Counter()
+
+def _most(counted: DataFrame, most: int) -> dict[str, int]:
+    """The most frequent parts.  How frequent they are at least is found first, or every task would
+    send the driver as many."""
+    least, seen = 1, 0
+    numbers = counted.groupBy(F.least("n", F.lit(_FREQUENT)).alias("n")).count().collect()
+    for n, parts in sorted(map(tuple, numbers), reverse=True):
+        least, seen = n, seen + parts
+        if seen >= most:
+            break
+    found = counted.filter(F.col("n") >= least).select("part", "n").collect()
+    return dict(sorted(map(tuple, found), key=lambda f: (-f[1], f[0]))[:most])
+
+
+def _character_model(rows: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
+    """The usual character triples and words of all texts, with the numbers of texts (of words, for
+    triples) they are in."""
+
+    def handed_on(words: Counter) -> pa.RecordBatch:
+        # words after a space, which no triple holds
+        usual = {f" {w}": n for w, n in words.items() if len(w) <= _LONGEST}
+        return _counted(_triples(words) | Counter(usual))
+
+    def count(batches):
+        words: Counter[str] = Counter()
         for batch in batches:
-            for own, mark in zip(batch.column("words"), batch.column("toxic"), strict=True):
-                if mark.as_py() == toxic:
-                    counts.update(
-                        w for w in own.as_py() if w not in rules and _rule_of(w, rules) is not None
-                    )
-        yield _counted(counts)
+            for text in batch.column("text"):
+                words.update(plain_words(text.as_py() or ""))
+                if len(words) > _COUNTED:
+                    yield handed_on(words)
+                    words = Counter()
+        yield handed_on(words)
 
-    good = _total(words.mapInArrow(lambda b: count(b, 0), "part string, n long"), PARTS)
-    bad = _total(words.mapInArrow(lambda b: count(b, 1), "part string, n long"), PARTS)
-    return {w: 0.0 for w, n in good.items() if n >= 2 and n > bad.get(w, 0)}
+    is_word = F.col("part").startswith(" ")
+    summed = rows.select("text").mapInArrow(count, "part string, n long").groupBy("part")
+    usual = cut(summed.agg(F.sum("n").alias("n")).filter(~is_word | (F.col("n") > 1)))
+    words = usual.filter(is_word).select(F.substring("part", 2, _LONGEST).alias("part"), "n")
+    return _most(usual.filter(~is_word), TRIPLES), _most(words, WORDS)
 
 
 def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> Model:
-    """A model from a bounded sample of the labelled rows that ``learn``, over doc_id, marks."""
+    """A model from all labelled rows that ``learn``, over doc_id, marks."""
     spark = documents.sparkSession
-    usable = labels.filter(learn & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
-    # twice the sample by hash, so that no task has to hand on as many rows as the sample has
-    share = min(1.0, 2 * SAMPLE / max(1, usable.count()))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    chosen = (
-        usable.filter(place <= int(share * (1 << 40)))
+    learned_from = learn & F.col("doc_id").isNotNull()
+    marks = (
+        labels.filter(learned_from & F.col("toxic").isin(0, 1))
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
-        .orderBy(place, "doc_id")
-        .limit(SAMPLE)
-    )
-    # at most SAMPLE rows of two numbers
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        F.coalesce("text", F.lit("")).alias("text"), "toxic"
-    )
-
-    def triples_of(batches):
-        counts: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column("text"):
-                own = plain_words(text.as_py())
-                counts.update(_triples(own))
-                # words after a space, which no triple holds
-                counts.update(f" {w}" for w in own if len(w) <= _LONGEST)
-        yield _counted(counts)
-
-    summed = cut(
-        rows.mapInArrow(triples_of, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
-    )
-    is_word = F.col("part").startswith(" ")
-    triples = _most(summed.filter(~is_word), TRIPLES)
-    usual_words = _most(
-        summed.filter(is_word & (F.col("n") > 1)).select(F.substring("part", 2, _LONGEST).alias("part"), "n"),
-        WORDS,
     )
+    rows = documents.select("doc_id", "text").filter(learned_from)
+    triples, usual_words = _character_model(rows)
     sent = spark.sparkContext.broadcast((triples, usual_words))
 
     def words_of(batches):
         decoder = Decoder(CharacterModel(*sent.value))
         for batch in batches:
-            found, keys = [], []
-            column = batch.column("text")
+            found, sizes, keys = [], [], []
+            column = batch.column("text").cast(pa.string())
             for text, kinds in zip(column, noise(column), strict=True):
-                value = text.as_py()
+                value = text.as_py() or ""
                 own = plain_words(value) | decoder.restored(value, int(kinds))
-                found.append(sorted(own))
-                keys.append(" ".join(sorted(own, key=lambda w: (zlib.crc32(w.encode()), w))[:3]))
+                joined = " ".join(sorted(own)).encode()
+                found.append(_packed(joined))
+                sizes.append(len(own))
+                keys.append(" ".join(map(str, sorted(set(map(zlib.crc32, joined.split())))[:3])))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("toxic"),
+                    batch.column("doc_id"),
                     pa.array(keys, pa.string()),
-                    pa.array(found, pa.list_(pa.string())),
+                    pa.array(sizes, pa.int32()),
+                    pa.array(found, pa.binary()),
                 ],
-                ["toxic", "alike", "words"],
+                ["doc_id", "alike", "n_words", "words"],
             )
 
-    words = rows.mapInArrow(words_of, "toxic int, alike string, words array<string>")
+    key = documents.schema["doc_id"].dataType.simpleString()
+    words = rows.mapInArrow(words_of, f"doc_id {key}, alike string, n_words int, words binary")
+    # Nearly as many labels as texts: to broadcast them would take the more memory the larger the corpus.
+    words = words.join(marks.hint("merge"), "doc_id")
     # of texts alike the one with most words, ties by the words themselves
-    most_words = F.max(F.struct(F.size("words"), "words")).alias("most")
+    most_words = F.max(F.struct("n_words", "words")).alias("most")
     words = cut(words.groupBy("toxic", "alike").agg(most_words).select("toxic", "most.words"))
     sizes = {r["toxic"]: r["count"] for r in words.groupBy("toxic").count().collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
@@ -615,22 +715,18 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> Model:
     usual = bad / (bad + good)
     rules: dict[str, float] = {}
     for head in (0, *HEADS):
-        in_bad = _total(_texts_with(words, 1, head, rules, None), PARTS, 2)
-        in_good = _total(_texts_with(words, 0, head, rules, set(in_bad)), PARTS)
-        for part, n in in_bad.items():
-            other = in_good.get(part, 0)
-            if n > other and _tail(n, n + other, usual) * len(in_bad) < CHANCE:
-                rules[part] = (n + 0.5) / (n + other + 1)
+        rules |= _new_rules(words, head, rules, usual)
     rules |= _exceptions(words, rules)
     rules |= _whole_shares(words, rules)
     learned = spark.sparkContext.broadcast(rules)
 
     def evidence(batches):
-        rules = learned.value
+        rules, left = learned.value, _uncovered(learned.value)
         for batch in batches:
             found = []
-            for own in batch.column("words"):
-                parts = {_rule_of(w, rules) for w in own.as_py()} - {None}
+            for text in batch.column("words"):
+                own = _unpacked(text.as_py())
+                parts = {_rule_of(w, rules) for w in own - left(own)}
                 found.append(round(_evidence(parts, rules), 2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(found, pa.float64())], ["toxic", "z"]

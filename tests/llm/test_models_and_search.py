@@ -172,6 +172,26 @@ def test_sample_of_one_class_or_none(spark):
     assert kept.columns == frame.columns and kept.count() == len(texts)
 
 
+def test_every_labelled_row_is_learned_from(spark):
+    """A word that only the last 40 texts hold, in an order by hash of the id, is learned as well."""
+    n, place = 24_400, F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    ids = [row.id for row in spark.range(n).orderBy(place).collect()]
+    last, rng = set(ids[-40:]), random.Random(3)
+    texts, labels = [], []
+    for i in range(n):
+        toxic = i in last or rng.random() < 0.05
+        words = [rng.choice(WORDS) for _ in range(4)] + ["common"]
+        if toxic:
+            words.append("scoundrel" if i in last else "moron")
+        texts.append(" ".join(words))
+        labels.append((i, 1, int(toxic)))
+    said = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(spark, texts), said, F.lit(True))
+    assert model.words["common"] == n
+    assert {"moron", "scoundrel"} <= set(model.rules)
+    assert model.scorer()("common scoundrel", 0) > 0.5
+
+
 # Exact top-k --------------------------------------------------------------------------------
 
 
