@@ -8,7 +8,7 @@ import os
 import re
 
 import pytest
-from helpers import silver_frame
+from helpers import as_set, silver_frame
 from pyspark.sql import functions as F
 
 from civicspark.fixtures import TIE_BREAK, Views
@@ -16,6 +16,7 @@ from civicspark.operators.dedup import latest_per_key
 from civicspark.operators.joins import left_join
 from civicspark.operators.quality import staging_summary
 from civicspark.operators.ranking import top_k
+from civicspark.operators.upsert import merge_upsert
 from civicspark.plans import marts
 from civicspark.plans.staging import since_last_ingest, stage_complaints
 from civicspark.session import INITIAL_PARTITIONS, materialize, shared_dir, size_shuffles
@@ -154,7 +155,7 @@ def test_hotspots_run_nothing_while_they_are_built(spark, views):
 
 
 def test_jobs_of_a_merge_do_not_grow_with_its_partitions(spark, folder):
-    from helpers import silver_frame
+    from helpers import as_set, silver_frame
 
     from civicspark.operators.upsert import merge_into
     from civicspark.plans.staging import KEY, UPDATED, stage_complaints
@@ -248,3 +249,13 @@ def test_a_hot_day_is_written_as_several_files(spark, folder):
     assert len(files) == 7
     assert files["created_part=2025-01-01"] >= 8
     assert spark.read.parquet(folder).count() == 60_000
+
+
+def test_newer_only_merge_shuffles_the_batch_once(spark):
+    rows = [("a", 2, "x"), ("a", 2, "y"), ("b", 1, "z")]
+    held = spark.createDataFrame([("a", 2, "old"), ("b", 3, "kept")], "id string, t int, v string")
+    merged = merge_upsert(
+        held, spark.createDataFrame(rows, held.schema), "id", "t", ["v"], newer_only=True
+    )
+    assert nodes(merged, "Exchange") == 1
+    assert as_set(merged) == {("a", 2, "y"), ("b", 3, "kept")}
