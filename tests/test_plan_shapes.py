@@ -8,17 +8,19 @@ import os
 import re
 
 import pytest
-from helpers import as_set, silver_frame
+from helpers import as_set, at, silver_frame
 from pyspark.sql import functions as F
 
 from civicspark.fixtures import TIE_BREAK, Views
 from civicspark.operators.dedup import latest_per_key
+from civicspark.operators.history import scd2_apply
 from civicspark.operators.joins import left_join
 from civicspark.operators.quality import staging_summary
 from civicspark.operators.ranking import top_k
 from civicspark.operators.upsert import merge_upsert
 from civicspark.plans import marts
 from civicspark.plans.staging import since_last_ingest, stage_complaints
+from civicspark.schemas import VALID_FROM, VERSION_ID
 from civicspark.session import INITIAL_PARTITIONS, materialize, shared_dir, size_shuffles
 from civicspark.sinks.tables import append_silver, laid_out, with_layout_column, write_layout
 from civicspark.sources.extract import after_cursor
@@ -155,7 +157,7 @@ def test_hotspots_run_nothing_while_they_are_built(spark, views):
 
 
 def test_jobs_of_a_merge_do_not_grow_with_its_partitions(spark, folder):
-    from helpers import as_set, silver_frame
+    from helpers import as_set, at, silver_frame
 
     from civicspark.operators.upsert import merge_into
     from civicspark.plans.staging import KEY, UPDATED, stage_complaints
@@ -259,3 +261,13 @@ def test_newer_only_merge_shuffles_the_batch_once(spark):
     )
     assert nodes(merged, "Exchange") == 1
     assert as_set(merged) == {("a", 2, "y"), ("b", 3, "kept")}
+
+
+def test_version_ids_are_not_shuffled(spark):
+    held = spark.createDataFrame([("a", at("2024-01-01"), "x")], "id string, t timestamp, v string")
+    first = scd2_apply(None, held, "id", "t")
+    later = held.withColumn("t", F.col("t") + F.expr("INTERVAL 1 DAY"))
+    grown = scd2_apply(first, later, "id", "t")
+    ids = F.md5(F.concat_ws("|", "id", F.col(VALID_FROM).cast("string")))
+    assert grown.filter(F.col(VERSION_ID) == ids).count() == 2
+    assert "md5(" not in plan(grown, "simple").split("Join", 1)[1]
