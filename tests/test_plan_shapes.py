@@ -24,7 +24,14 @@ from civicspark.schemas import VALID_FROM, VERSION_ID
 from civicspark.session import INITIAL_PARTITIONS, materialize, shared_dir, size_shuffles
 from civicspark.sinks.tables import append_silver, laid_out, with_layout_column, write_layout
 from civicspark.sources.extract import after_cursor
-from civicspark.sources.files import file_facts, path_exists, read_silver, silver_mark
+from civicspark.sources.files import (
+    file_facts,
+    path_exists,
+    read_lines,
+    read_silver,
+    rejected_line,
+    silver_mark,
+)
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -271,3 +278,11 @@ def test_version_ids_are_not_shuffled(spark):
     ids = F.md5(F.concat_ws("|", "id", F.col(VALID_FROM).cast("string")))
     assert grown.filter(F.col(VERSION_ID) == ids).count() == 2
     assert "md5(" not in plan(grown, "simple").split("Join", 1)[1]
+
+
+def test_lines_are_parsed_once_however_often_the_record_is_asked(spark, folder):
+    spark.createDataFrame([('{"unique_key": "1"}',), ("{bad",)], "value string").write.text(f"{folder}/lines")
+    rows = read_lines(spark, f"{folder}/lines")
+    bad = rows.filter(rejected_line()).select("value", "record.unique_key")
+    assert bad.count() == 2
+    assert plan(bad, "simple").count("from_json(") == 1
