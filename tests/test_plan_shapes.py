@@ -286,3 +286,34 @@ def test_lines_are_parsed_once_however_often_the_record_is_asked(spark, folder):
     bad = rows.filter(rejected_line()).select("value", "record.unique_key")
     assert bad.count() == 2
     assert plan(bad, "simple").count("from_json(") == 1
+
+
+def test_a_merge_shuffles_the_batch_once_and_the_stored_table_never(spark, folder):
+    from civicspark.operators.upsert import _merge_latest, merge_into
+    from civicspark.plans.staging import KEY, UPDATED
+    from civicspark.session import stage_table
+    from civicspark.sinks.buckets import bucket_count, dealt_into, read_buckets
+    from civicspark.sinks.tables import CLUSTER_COLUMNS
+
+    def batch(keys, day):
+        rows = [{"unique_key": str(k), "created_date": "2025-01-05", ":updated_at": day} for k in keys]
+        return stage_complaints(silver_frame(spark, rows))
+
+    path = f"{folder}/staged"
+    merge_into(spark, path, batch(range(50), "2025-02-01"), KEY, UPDATED)
+    buckets = bucket_count(spark, path)
+    files = os.listdir(f"{path}/created_part=2025-01-05")
+    assert buckets and len([name for name in files if name.endswith(".parquet")]) <= buckets
+    latest = latest_per_key(with_layout_column(batch(range(40, 60), "2025-02-02")), KEY, UPDATED)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert nodes(latest, "Exchange") == 1
+        with dealt_into(latest, buckets):
+            staged = spark.table(stage_table(latest, "batch", KEY, buckets))
+        held = read_buckets(spark, path, staged.schema, KEY, CLUSTER_COLUMNS)
+        merged = _merge_latest(held, staged, KEY, UPDATED, False)
+        assert nodes(merged, "Exchange") == 0
+        assert merged.count() == 60
+    # a batch that is merged again finds its rows
+    for _ in range(2):
+        merge_into(spark, path, batch(range(40, 60), "2025-02-02"), KEY, UPDATED)
+    assert spark.read.parquet(path).count() == 60
