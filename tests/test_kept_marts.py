@@ -317,3 +317,39 @@ def test_a_table_without_keys_gets_them(spark, lake):
     shutil.rmtree(lake.keys)
     merge(spark, lake, [request(1, 2, created_date="2025-02-05T00:00:00")])
     assert jobs.staged_complaints(spark, lake).count() == 1
+
+
+def test_changes_are_shuffled_once_together_with_what_is_held(spark, lake, monkeypatch):
+    merge(spark, lake, [request(n, 1) for n in range(5)])
+    jobs.build_marts(spark, lake)
+    written, write = [], kept._write
+
+    def watched(frame, *where):
+        written.append(frame._jdf.queryExecution().executedPlan().toString())
+        write(frame, *where)
+
+    monkeypatch.setattr(kept, "_write", watched)
+    merge(spark, lake, [request(2, 2, borough="Z")])
+    jobs.build_marts(spark, lake)
+    assert [plan.count("ENSURE_REQUIREMENTS") for plan in written] == [1] * len(kept.ALL)
+    check(spark, lake)
+
+
+def test_a_value_that_moves_to_another_null_column_changes_its_month(spark, lake):
+    merge(spark, lake, [request(1, 1, borough="X", city=None), request(2, 1)])
+    jobs.build_marts(spark, lake)
+    merge(spark, lake, [request(1, 2, borough=None, city="X")])
+    jobs.build_marts(spark, lake)
+    places = {(r.borough, r.city) for r in check(spark, lake)["fct_agency_efficiency"].collect()}
+    assert places == {(None, "X"), ("B", "C")}
+
+
+def test_keys_lie_in_the_staged_tables_buckets(spark, lake):
+    from civicspark.sinks.buckets import bucket_count
+    from civicspark.sinks.keys import KeyTable
+
+    for day, options in ((1, {}), (2, {}), (3, {"full_refresh": True})):
+        merge(spark, lake, [request(n, day) for n in range(20)], **options)
+        table = KeyTable(spark, lake.keys, "unique_key", "created_part")
+        assert table._current()[1] == bucket_count(spark, lake.staged_complaints)
+        assert table.table().select("unique_key").distinct().count() == 20

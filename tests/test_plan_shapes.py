@@ -317,3 +317,10 @@ def test_a_merge_shuffles_the_batch_once_and_the_stored_table_never(spark, folde
     for _ in range(2):
         merge_into(spark, path, batch(range(40, 60), "2025-02-02"), KEY, UPDATED)
     assert spark.read.parquet(path).count() == 60
+
+
+def test_texts_of_line_items_are_made_after_the_joins(views):
+    text = plan(views.silver("place", "agency", "kind"), "simple")
+    assert "concat_ws" in text
+    # the plan is printed from its end
+    assert text.rindex("concat_ws") < text.index("Join")
