@@ -37,6 +37,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,8 @@ TRIPLES = 60_000
 WORDS = 30_000
 #: Different parts that a task counts before it hands them on.
 _COUNTED = 200_000
+#: Arrays of at least as many words whose different words are handed on together.
+_HELD = 10
 #: Numbers above this one are not told apart when the least number of a frequent part is looked for.
 _FREQUENT = 50_000
 _CODEC = pa.Codec("zstd", 1)
@@ -244,6 +247,7 @@ class CharacterModel:
         places = self.lattice(token) if places is None else places
         ends = {i for i, options in enumerate(places) if options[-1][0] == " "} | {len(places)}
         readings: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}
+        price_of, unseen, unknown = self.price_of, self.unseen, self.unknown
         whole: dict[int, tuple[float, tuple]] = {}
         self._whole_words(places, ends, 0, 0.0, None, whole)
 
@@ -266,8 +270,9 @@ class CharacterModel:
                         continue
                     total, state = cost + price, before
                     for letter in letters[:3]:
-                        step = self.price(state, letter)
-                        total += step
+                        # as ``price``, without a call for each
+                        step = price_of.get(state + letter)
+                        total += unseen.get(state, unknown) if step is None else step
                         state = state[1] + letter
                     if len(letters) > 3:
                         total += (len(letters) - 3) * self.price(state, letters[-1])
@@ -391,6 +396,12 @@ def _rule_of(word: str, rules: dict[str, float]) -> str | None:
     return None
 
 
+def _first_letters(rules: Iterable[str]) -> set[str]:
+    """The first three letters, or fewer, of all words that a rule covers.  Most words have others,
+    which is found faster than whether a rule covers them."""
+    return {part.removesuffix("-")[:3] for part in rules}
+
+
 def _evidence(parts: set[str], rules: dict[str, float]) -> float:
     return sum(math.log(rules[p] / (1 - rules[p])) for p in sorted(parts) if rules[p])
 
@@ -460,32 +471,34 @@ class Model:
         self.rules, self.curve, self.triples, self.words = rules, curve, triples, words
 
     def scorer(self):
-        heads = {part.removesuffix("-")[:3] for part, share in self.rules.items() if share}
+        heads = _first_letters(part for part, share in self.rules.items() if share)
         decoder = Decoder(CharacterModel(self.triples, self.words), heads)
         rules, (slope, offset) = self.rules, self.curve
-        of_word: dict[str, str | None] = {}
 
         def score(text: str | None, kinds: int) -> float:
-            parts: set[str] = set()
+            parts: set[str | None] = set()
             if text:
-                for word in plain_words(text) | decoder.restored(text, kinds):
-                    if word not in of_word:
-                        if len(of_word) > 100_000:
-                            of_word.clear()
-                        of_word[word] = _rule_of(word, rules)
-                    if of_word[word] is not None:
-                        parts.add(of_word[word])
+                for words in (plain_words(text), decoder.restored(text, kinds)):
+                    # an exception begins as the rule it is from
+                    parts.update([_rule_of(word, rules) for word in words if word[:3] in heads])
+                parts.discard(None)
             z = slope * _evidence(parts, rules) + offset
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
         return score
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-        ["part", "n"],
-    )
+def _counted(parts: pa.Array, numbers: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([parts.cast(pa.string()), numbers], ["part", "n"])
+
+
+def _smallest(words: list[bytes]) -> str:
+    """The three smallest hashes of words."""
+    hashes, found = set(map(zlib.crc32, words)), []
+    for _ in range(min(3, len(hashes))):
+        found.append(min(hashes))
+        hashes.remove(found[-1])
+    return " ".join(map(str, found))
 
 
 def _packed(text: bytes) -> bytes:
@@ -493,9 +506,10 @@ def _packed(text: bytes) -> bytes:
     return len(text).to_bytes(8, "little") + _CODEC.compress(text, asbytes=True)
 
 
-def _unpacked(packed: bytes) -> set[str]:
+def _unpacked(packed: bytes) -> list[str]:
+    """The different words."""
     length = int.from_bytes(packed[:8], "little")
-    return set(_CODEC.decompress(packed[8:], length, asbytes=True).decode().split())
+    return _CODEC.decompress(packed[8:], length, asbytes=True).decode().split()
 
 
 def _counting(words: DataFrame, parts_of: Callable) -> DataFrame:
@@ -528,6 +542,17 @@ def _counting(words: DataFrame, parts_of: Callable) -> DataFrame:
     return counted.groupBy("part").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
+def _covered(rules: Iterable[str]) -> Callable[[list[str]], set[str]]:
+    """A function that finds the words that a rule covers."""
+    left, heads = _uncovered(rules), _first_letters(rules)
+
+    def covered(words: list[str]) -> set[str]:
+        likely = {word for word in words if word[:3] in heads}
+        return likely - left(likely)
+
+    return covered
+
+
 def _uncovered(rules: Iterable[str]) -> Callable[[set[str]], set[str]]:
     """A function that takes the words out that a rule covers."""
     whole = {p for p in rules if not p.endswith("-")}
@@ -549,9 +574,9 @@ def _parts_left(rules: Iterable[str], head: int, among: Iterable[str] | None) ->
     whole = None if among is None else set(among)
     heads = None if among is None else {p[:head] for p in among}
 
-    def parts(words: set[str]) -> set[str]:
+    def parts(words: list[str]) -> set[str]:
         if not head:
-            return left(words if whole is None else words & whole)
+            return left(set(words) if whole is None else whole.intersection(words))
         if heads is None:
             longer = {w for w in words if len(w) > head}
         else:
@@ -603,8 +628,10 @@ def _whole_shares(words: DataFrame, rules: dict[str, float]) -> dict[str, float]
         heads = {p for p, share in sent.value.items() if p.endswith("-") and share}
         exceptions = {p for p, share in sent.value.items() if not share}
 
-        def parts(words: set[str]) -> set[str]:
-            left = words - exceptions
+        letters = _first_letters(heads)
+
+        def parts(words: list[str]) -> set[str]:
+            left = {w for w in words if w[:3] in letters} - exceptions
             return {f"{w[:head]}-" for head in HEADS for w in left if len(w) > head} & heads
 
         return parts
@@ -620,8 +647,8 @@ def _exceptions(words: DataFrame, rules: dict[str, float]) -> dict[str, float]:
     sent = words.sparkSession.sparkContext.broadcast(set(rules))
 
     def parts_of():
-        left, rules = _uncovered(sent.value), sent.value
-        return lambda words: words - left(words) - rules
+        covered, rules = _covered(sent.value), sent.value
+        return lambda words: covered(words) - rules
 
     found = _counting(words, parts_of).filter("good > 1 AND good > bad")
     return {row["part"]: 0.0 for row in found.select("part").collect()}
@@ -644,20 +671,29 @@ def _character_model(rows: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
     """The usual character triples and words of all texts, with the numbers of texts (of words, for
     triples) they are in."""
 
-    def handed_on(words: Counter) -> pa.RecordBatch:
+    def handed_on(words: list[pa.Array]) -> Iterable[pa.RecordBatch]:
+        found = pc.value_counts(pa.chunked_array(words, pa.string()))
+        own, numbers = found.field("values"), found.field("counts")
+        short = pc.less_equal(pc.utf8_length(own), _LONGEST)
+        own, numbers = own.filter(short), numbers.filter(short)
+        triples = _triples(dict(zip(own.to_pylist(), numbers.to_pylist(), strict=True)))
+        yield _counted(pa.array(list(triples), pa.string()), pa.array(list(triples.values()), pa.int64()))
         # words after a space, which no triple holds
-        usual = {f" {w}": n for w, n in words.items() if len(w) <= _LONGEST}
-        return _counted(_triples(words) | Counter(usual))
+        yield _counted(pc.binary_join_element_wise(pa.scalar(""), own, " "), numbers)
 
     def count(batches):
-        words: Counter[str] = Counter()
+        held: list[pa.Array] = []
+        words: list[str] = []
         for batch in batches:
             for text in batch.column("text"):
-                words.update(plain_words(text.as_py() or ""))
+                words.extend(plain_words(text.as_py() or ""))
                 if len(words) > _COUNTED:
-                    yield handed_on(words)
-                    words = Counter()
-        yield handed_on(words)
+                    held.append(pa.array(words, pa.string()))
+                    words = []
+                    if len(held) == _HELD:
+                        yield from handed_on(held)
+                        held = []
+        yield from handed_on([*held, pa.array(words, pa.string())])
 
     is_word = F.col("part").startswith(" ")
     summed = rows.select("text").mapInArrow(count, "part string, n long").groupBy("part")
@@ -690,7 +726,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> Model:
                 joined = " ".join(sorted(own)).encode()
                 found.append(_packed(joined))
                 sizes.append(len(own))
-                keys.append(" ".join(map(str, sorted(set(map(zlib.crc32, joined.split())))[:3])))
+                keys.append(_smallest(joined.split()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -721,12 +757,11 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> Model:
     learned = spark.sparkContext.broadcast(rules)
 
     def evidence(batches):
-        rules, left = learned.value, _uncovered(learned.value)
+        rules, covered = learned.value, _covered(learned.value)
         for batch in batches:
             found = []
             for text in batch.column("words"):
-                own = _unpacked(text.as_py())
-                parts = {_rule_of(w, rules) for w in own - left(own)}
+                parts = {_rule_of(w, rules) for w in covered(_unpacked(text.as_py()))}
                 found.append(round(_evidence(parts, rules), 2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(found, pa.float64())], ["toxic", "z"]

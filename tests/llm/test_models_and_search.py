@@ -101,6 +101,31 @@ def test_held_out_toxic_texts_are_found(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def test_only_words_that_begin_as_a_rule_are_looked_up(monkeypatch):
+    looked_up, rule_of = [], toxicity._rule_of
+    monkeypatch.setattr(
+        toxicity, "_rule_of", lambda word, rules: looked_up.append(word) or rule_of(word, rules)
+    )
+    # the last is an exception
+    rules = {"mud": 0.9, "idio-": 0.8, "x": 0.7, "idiom": 0.0}
+    score = toxicity.Model(rules, (1.0, -1.0), {}, {}).scorer()
+    plain = " ".join(f"{a}{b}" for a in WORDS for b in WORDS)
+    assert score(plain, 0) == score("", 0) == score(f"{plain} idiom", 0)
+    assert looked_up == ["idiom"]
+    for text in ("mud", "Idiots", "x"):
+        assert score(f"{plain} {text}", 0) > score(plain, 0), text
+
+
+def test_covered_words_are_those_with_a_rule():
+    rules = {"mud": 0.9, "idio-": 0.8, "x": 0.7, "idiom": 0.0, "abc-": 0.6}
+    words = ["mud", "muddy", "idio", "idiot", "idiom", "x", "xy", "abc", "abcd", "ab", "id"]
+    wanted = {word for word in words if toxicity._rule_of(word, rules) is not None}
+    assert toxicity._covered(rules)(words) == wanted == {"mud", "idiot", "idiom", "x", "abcd"}
+    assert toxicity._smallest([]) == "" and toxicity._smallest([b"b"]) == str(zlib.crc32(b"b"))
+    hashes = sorted(zlib.crc32(word.encode()) for word in words)
+    assert toxicity._smallest([w.encode() for w in words]) == " ".join(map(str, hashes[:3]))
+
+
 def test_disguised_words_are_restored(spark):
     texts, labels = labelled(spark)
     model = toxicity.fit(documents(spark, texts), labels, F.lit(True))
