@@ -249,6 +249,40 @@ def test_stream_upsert_equals_the_batch_merge(spark, lake):
     assert staged(spark, lake) == wanted
 
 
+def test_a_streamed_table_has_the_buckets_its_files_need(spark, lake):
+    from civicspark.sinks.buckets import bucket_count
+
+    lines(lake.bronze_complaints, "a", *[record(str(n), "Open", "2025-03-01") for n in range(40)])
+    load(spark, lake)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        stream_upsert(
+            spark, lake.silver_complaints, lake.staged_complaints, lake.staged_checkpoint
+        ).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # not one, and one file, for every partition of a shuffle
+    assert bucket_count(spark, lake.staged_complaints) == 1
+    (part,) = [name for name in os.listdir(lake.staged_complaints) if name.startswith("created")]
+    files = os.listdir(f"{lake.staged_complaints}/{part}")
+    assert len([name for name in files if name.endswith(".parquet")]) == 1
+    assert len(staged(spark, lake)) == 40
+
+
+def test_a_stream_removes_copies_before_it_derives(spark, lake, monkeypatch):
+    from civicspark.streaming import loads
+
+    seen, dedup = [], loads.dedup_exact
+    monkeypatch.setattr(loads, "dedup_exact", lambda df: seen.append(df.columns) or dedup(df))
+    one = record("1", "Closed", "2025-03-04")
+    lines(lake.bronze_complaints, "a", one, one)
+    at_instant = at("2025-03-09T10:00:00")
+    (row,) = load(spark, lake, at=at_instant).collect()
+    assert (row.resolution_time_days, row.ingest_date.isoformat()) == (4, "2025-03-09")
+    assert seen and not {"SLA_days", "resolution_time_days", "ingest_date"} & set(seen[0])
+
+
 def test_command_line_steps(spark, lake, folder, capsys):
     from civicspark.__main__ import main
 
