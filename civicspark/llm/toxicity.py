@@ -18,8 +18,9 @@ labelled texts turns it into the score.
 Copies and near copies among the labelled texts (whose three smallest hashes of words are the same)
 count as one text, or the words of a toxic text that is often copied would all be rules.
 
-Learning takes all labelled rows that ``learn`` marks, and whole texts; the character model and the
-usual words, which need no label, come from all texts that it marks.  What is counted stays in Spark;
+Learning takes all labelled rows that ``learn`` marks, and whole texts; rows without a label are
+passed over before they are decoded, by a bitmap of hashes of the labelled ids.  The character model and the
+usual words, which need no label, come from all texts that ``learn`` marks.  What is counted stays in Spark;
 the driver gets the character model, the parts frequent enough to become rules, and the rules.  Texts
 are not shuffled for it, only their different words are.  Scoring covers whole texts and all rows.
 
@@ -55,6 +56,13 @@ _COUNTED = 200_000
 _HELD = 10
 #: Numbers above this one are not told apart when the least number of a frequent part is looked for.
 _FREQUENT = 50_000
+#: Bits of the bitmap of labelled ids: for each label, and at most.  With more labels more rows pass it
+#: that have none; they are dropped by the join.
+_BITS_EACH, _BITS_MOST = 16, 1 << 27
+#: Fixed by Spark's bitmap functions.
+_BUCKET_BITS = 1 << 15
+#: Types of ids that are equal only if their hashes are.
+_HASHED = ("tinyint", "smallint", "int", "bigint", "string")
 _CODEC = pa.Codec("zstd", 1)
 #: First letters of a word that may be a rule, longest first.
 HEADS = (6, 5, 4, 3)
@@ -702,22 +710,43 @@ def _character_model(rows: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
     return _most(usual.filter(~is_word), TRIPLES), _most(words, WORDS)
 
 
+def _marked_places(documents: DataFrame, marked: DataFrame) -> tuple[Column, np.ndarray]:
+    """A place per doc_id, and a bitmap of the places of the ``marked`` ones.  Others may share their
+    places, and all ids do if those of the two tables cannot be compared by hashes."""
+    key = documents.schema["doc_id"].dataType
+    if marked.schema["doc_id"].dataType != key or key.simpleString() not in _HASHED:
+        return F.lit(0).cast("long"), np.full(1, 255, np.uint8)
+    needed = max(_BUCKET_BITS, marked.count() * _BITS_EACH)
+    size = min(_BITS_MOST, 1 << (needed - 1).bit_length())
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(size))
+    # Spark's positions begin at 1
+    maps = marked.groupBy(F.bitmap_bucket_number(place + 1).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place + 1)).alias("bits")
+    )
+    bits = np.zeros(size // 8, np.uint8)
+    width = _BUCKET_BITS // 8
+    for bucket, found in maps.collect():
+        bits[(bucket - 1) * width : bucket * width] = np.frombuffer(found, np.uint8)
+    return place, bits
+
+
 def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> Model:
     """A model from all labelled rows that ``learn``, over doc_id, marks."""
     spark = documents.sparkSession
     learned_from = learn & F.col("doc_id").isNotNull()
-    marks = (
-        labels.filter(learned_from & F.col("toxic").isin(0, 1))
-        .groupBy("doc_id")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-    )
+    labelled = labels.filter(learned_from & F.col("toxic").isin(0, 1))
+    marks = labelled.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = documents.select("doc_id", "text").filter(learned_from)
     triples, usual_words = _character_model(rows)
-    sent = spark.sparkContext.broadcast((triples, usual_words))
+    place, bits = _marked_places(documents, labelled)
+    sent = spark.sparkContext.broadcast((triples, usual_words, bits))
 
     def words_of(batches):
-        decoder = Decoder(CharacterModel(*sent.value))
+        *usual, marked = sent.value
+        decoder = Decoder(CharacterModel(*usual))
         for batch in batches:
+            at = batch.column("place").to_numpy()
+            batch = batch.filter(pa.array((marked[at >> 3] >> (at & 7) & 1).astype(bool)))
             found, sizes, keys = [], [], []
             column = batch.column("text").cast(pa.string())
             for text, kinds in zip(column, noise(column), strict=True):
@@ -738,7 +767,8 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column) -> Model:
             )
 
     key = documents.schema["doc_id"].dataType.simpleString()
-    words = rows.mapInArrow(words_of, f"doc_id {key}, alike string, n_words int, words binary")
+    schema = f"doc_id {key}, alike string, n_words int, words binary"
+    words = rows.withColumn("place", place).mapInArrow(words_of, schema)
     # Nearly as many labels as texts: to broadcast them would take the more memory the larger the corpus.
     words = words.join(marks.hint("merge"), "doc_id")
     # of texts alike the one with most words, ties by the words themselves

@@ -217,6 +217,43 @@ def test_every_labelled_row_is_learned_from(spark):
     assert model.scorer()("common scoundrel", 0) > 0.5
 
 
+def test_rows_without_a_label_are_passed_over(spark, monkeypatch):
+    frame = spark.range(-3_000, 3_000).withColumnRenamed("id", "doc_id")
+    marked = frame.filter("doc_id % 3 = 0")
+
+    def passing(own, said=marked):
+        place, bits = toxicity._marked_places(own, said)
+        found = [r for r in own.select("doc_id", place.alias("at")).collect() if r["at"] is not None]
+        return bits, {r["doc_id"] for r in found if bits[r["at"] >> 3] >> (r["at"] & 7) & 1}
+
+    wanted = {r["doc_id"] for r in marked.collect()}
+    bits, found = passing(frame)
+    assert wanted <= found and len(found) < 2_400 and len(bits) == 4_096
+    assert passing(frame, marked.limit(0))[1] == set()
+    # ids of other types or that are equal without the same hash, and more labels than the bitmap is for
+    assert len(passing(frame, marked.withColumn("doc_id", F.col("doc_id").cast("int")))[1]) == 6_000
+    real = frame.withColumn("doc_id", F.col("doc_id").cast("double"))
+    assert len(passing(real, real.filter("doc_id > 0"))[1]) == 6_000
+    text = frame.withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert len(passing(text, text.limit(1_000))[1]) < 1_500
+    monkeypatch.setattr(toxicity, "_BITS_EACH", 1 << 10)
+    assert len(passing(frame)[0]) == 262_144
+    monkeypatch.setattr(toxicity, "_BITS_MOST", 1 << 15)
+    bits, found = passing(frame)
+    assert wanted <= found and len(bits) == 4_096
+
+
+def test_the_bitmap_changes_nothing_learned(spark, monkeypatch):
+    texts, labels = labelled(spark)
+    frame = documents(spark, texts + ["idiot 1d1ot " + texts[0]] * 50)
+    model = toxicity.fit(frame, labels, F.lit(True))
+    all_pass = F.lit(0).cast("long"), np.full(1, 255, np.uint8)
+    monkeypatch.setattr(toxicity, "_marked_places", lambda *_: all_pass)
+    every = toxicity.fit(frame, labels, F.lit(True))
+    assert (model.rules, model.curve) == (every.rules, every.curve) and model.rules
+    assert (model.triples, model.words) == (every.triples, every.words)
+
+
 # Exact top-k --------------------------------------------------------------------------------
 
 
