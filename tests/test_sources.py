@@ -172,6 +172,21 @@ def test_pages_with_other_columns(spark, folder):
     assert {tuple(r) for r in rows.collect()} == {("1", "x", None), ("2", None, "y")}
 
 
+def test_fast_gzip_holds_the_same_lines(spark, folder):
+    rng = random.Random(7)
+    rows = [(str(i), at("2024-01-02 03:04:05"), rng.choice(["Noise", "Rodent"])) for i in range(5_000)]
+    page = spark.createDataFrame(rows, "unique_key string, created_date timestamp, descriptor string")
+    sizes, lines = [], []
+    for n, fast in enumerate((False, True)):
+        target = write_ndjson([page.coalesce(1)], f"{folder}/{n}", "run", "gzip", fast=fast)
+        (name,) = [name for name in os.listdir(target) if name.endswith(".json.gz")]
+        sizes.append(os.path.getsize(f"{target}/{name}"))
+        lines.append([row.value for row in spark.read.text(target).collect()])
+    # another level: more space for less time
+    assert sizes[0] < sizes[1] < 2 * sizes[0]
+    assert lines[0] == lines[1] and len(lines[0]) == len(rows)
+
+
 CELLS = [["NAME", "S1901_C01_012E", "zip code tabulation area"], ["A], B", "5", "00601"], ["C", None, "2"]]
 
 
