@@ -34,6 +34,10 @@ LEARNED = "assistant"
 PACK_TOKENS = 1 << 16
 PACK_CONVERSATIONS = 1 << 12
 
+#: Stored packs lie in row groups of so many.  Spark reads Parquet in batches of 4,096 rows, which
+#: would be some 2 GB of packs a task, but never takes rows of two groups into one.
+GROUP_PACKS = 16
+
 _MARK = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(re.escape(START) + r"(.*?)\n(.*?)" + re.escape(END) + r"\n", re.DOTALL)
@@ -340,5 +344,9 @@ def read_back(packs: DataFrame, folder: str = TOKENIZERS, tokenizer: str = BYTE_
 
 def formatted(rows: DataFrame, folder: str = TOKENIZERS, tokenizer: str = BYTE_BPE) -> DataFrame:
     """``rows`` packed and stored, then read back.  An empty table has no rows."""
-    packs = materialize(pack_conversations(rows, folder, tokenizer), "packs")
+    packs = materialize(
+        pack_conversations(rows, folder, tokenizer),
+        "packs",
+        {"parquet.block.row.count.limit": str(GROUP_PACKS)},
+    )
     return read_back(packs, folder, tokenizer)

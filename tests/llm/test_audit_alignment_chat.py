@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -291,6 +293,20 @@ def _one(spark, frame):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
+def test_stored_packs_are_read_a_few_at_a_time(spark, monkeypatch):
+    packed = functools.partial(chat_tree.pack_conversations, pack_size=1)
+    monkeypatch.setattr(chat_tree, "pack_conversations", packed)
+    rows = chats()
+    found = chat_tree.formatted(spark.createDataFrame(rows, TURN).coalesce(1))
+    assert {tuple(row) for row in found.collect()} == read_by_hand(rows)
+    groups = []
+    for file in found.inputFiles():
+        stored = pq.ParquetFile(file.removeprefix("file:")).metadata
+        groups += [stored.row_group(k).num_rows for k in range(stored.num_row_groups)]
+    assert sum(groups) == len({row[0] for row in rows}) > 2 * chat_tree.GROUP_PACKS
+    assert max(groups) <= chat_tree.GROUP_PACKS
+
+
 def test_chats_of_an_empty_table(spark):
     assert chat_tree.formatted(spark.createDataFrame([], TURN)).count() == 0
 
