@@ -6,6 +6,7 @@ import contextlib
 import io
 import os
 import re
+import time
 
 import pytest
 from helpers import as_set, at, silver_frame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from civicspark.fixtures import TIE_BREAK, Views
 from civicspark.operators.dedup import latest_per_key
-from civicspark.operators.history import scd2_apply
+from civicspark.operators.history import scd2_apply, stage_history
 from civicspark.operators.joins import left_join
 from civicspark.operators.quality import staging_summary
 from civicspark.operators.ranking import top_k
@@ -21,8 +22,23 @@ from civicspark.operators.upsert import merge_upsert
 from civicspark.plans import marts
 from civicspark.plans.staging import since_last_ingest, stage_complaints
 from civicspark.schemas import VALID_FROM, VERSION_ID
-from civicspark.session import INITIAL_PARTITIONS, materialize, shared_dir, size_shuffles
-from civicspark.sinks.tables import append_silver, laid_out, with_layout_column, write_layout
+from civicspark.session import (
+    INITIAL_PARTITIONS,
+    materialize,
+    own_session,
+    shared_dir,
+    size_shuffles,
+    stage_table,
+)
+from civicspark.sinks.buckets import write_buckets
+from civicspark.sinks.tables import (
+    append_silver,
+    laid_out,
+    overwrite_table,
+    with_layout_column,
+    write_layout,
+    write_ndjson,
+)
 from civicspark.sources.extract import after_cursor
 from civicspark.sources.files import (
     file_facts,
@@ -324,3 +340,44 @@ def test_texts_of_line_items_are_made_after_the_joins(views):
     assert "concat_ws" in text
     # the plan is printed from its end
     assert text.rindex("concat_ws") < text.index("Join")
+
+
+def shuffle_files(spark) -> set[str]:
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_writes_and_steps_leave_no_shuffle_files(spark, folder):
+    rows = spark.range(1000).groupBy((F.col("id") % 100).cast("string").alias("unique_key")).count()
+    step = own_session(spark).range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    day = with_layout_column(rows.withColumn("created_date", F.lit("2025-01-01").cast("timestamp")))
+    for run in (
+        lambda: materialize(rows, "rows"),
+        lambda: overwrite_table(rows, f"{folder}/rows"),
+        lambda: write_ndjson([rows], f"{folder}/lines", "run"),
+        lambda: write_buckets(day, f"{folder}/buckets", "unique_key", ["unique_key"], 2),
+        step.collect,
+    ):
+        before = shuffle_files(spark)
+        run()
+        # they are deleted in the background
+        for _ in range(100):
+            if not shuffle_files(spark) - before:
+                break
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - before
+    assert spark.table(stage_table(rows, "rows")).count() == rows.count() == 100
+    assert len(rows.collect()) == len(rows.collect()) == 100
+
+
+def test_a_staged_history_is_not_shuffled_for_the_next_snapshot(spark):
+    times = [(str(k), at("2025-01-01"), "open") for k in range(40)]
+    current = spark.createDataFrame(times, "k string, updated timestamp, status string")
+    later = current.withColumn("updated", F.col("updated") + F.expr("INTERVAL 1 DAY"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        name = stage_history(None, current, "k", "updated")
+        for _ in range(2):
+            grown = scd2_apply(spark.table(name), later, "k", "updated")
+            assert nodes(grown, "Exchange") == 1  # that of the snapshot
+            name = stage_history(name, later, "k", "updated")
+            assert spark.table(name).count() == 80
