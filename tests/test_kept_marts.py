@@ -14,6 +14,7 @@ from civicspark import schemas
 from civicspark.operators import upsert
 from civicspark.operators.upsert import SIGN, signed_images
 from civicspark.plans import jobs, kept, marts
+from civicspark.plans.staging import stage_complaints
 from civicspark.session import bytes_read
 from civicspark.sinks.tables import append_silver, overwrite_table
 
@@ -165,6 +166,25 @@ def test_rows_merged_again_touch_no_month(spark, lake):
     check(spark, lake)
 
 
+def test_changed_months_of_all_marts_are_found_in_one_pass(spark):
+    now = silver_frame(spark, [
+        request(1, 1), request(2, 1, created_date="2025-02-10T08:00:00"),
+        request(3, 1, created_date="2025-03-10T08:00:00"), request(4, 1, created_date=None),
+    ])
+    later = silver_frame(spark, [
+        request(1, 2), request(2, 2, created_date="2025-02-10T08:00:00", agency="Z"),
+        request(3, 2, created_date="2025-04-10T08:00:00"), request(4, 2, created_date=None, incident_zip=None),
+    ])
+    old, new = stage_complaints(now), stage_complaints(later)
+    images = old.withColumn(SIGN, F.lit(-1)).unionByName(new.withColumn(SIGN, F.lit(1)))
+    found = {name: set(months) for name, months in kept.months_changed(images).items()}
+    assert found == {
+        "agency_efficiency": {"2025-02", "2025-03", "2025-04"},
+        "income_resolution": {"2025-03", "2025-04", kept.NO_MONTH},
+        "hour_histogram": {"2025-03", "2025-04", kept.NO_MONTH},
+    }
+
+
 def test_a_merge_that_died_is_finished_from_its_changes(spark, lake, monkeypatch):
     rng = random.Random(2)
     merge(spark, lake, some(rng, 1, 20))

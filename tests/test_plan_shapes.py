@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import glob
 import io
 import os
 import re
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import as_set, at, silver_frame
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from civicspark.operators.history import scd2_apply, stage_history
 from civicspark.operators.joins import left_join
 from civicspark.operators.quality import staging_summary
 from civicspark.operators.ranking import top_k
-from civicspark.operators.upsert import merge_upsert
+from civicspark.operators.upsert import merge_into, merge_upsert
 from civicspark.plans import marts
 from civicspark.plans.staging import since_last_ingest, stage_complaints
 from civicspark.schemas import VALID_FROM, VERSION_ID
@@ -26,6 +28,7 @@ from civicspark.session import (
     INITIAL_PARTITIONS,
     materialize,
     own_session,
+    prepare,
     shared_dir,
     size_shuffles,
     stage_table,
@@ -305,9 +308,8 @@ def test_lines_are_parsed_once_however_often_the_record_is_asked(spark, folder):
 
 
 def test_a_merge_shuffles_the_batch_once_and_the_stored_table_never(spark, folder):
-    from civicspark.operators.upsert import _merge_latest, merge_into
+    from civicspark.operators.upsert import _merge_latest
     from civicspark.plans.staging import KEY, UPDATED
-    from civicspark.session import stage_table
     from civicspark.sinks.buckets import bucket_count, dealt_into, read_buckets
     from civicspark.sinks.tables import CLUSTER_COLUMNS
 
@@ -329,6 +331,10 @@ def test_a_merge_shuffles_the_batch_once_and_the_stored_table_never(spark, folde
         merged = _merge_latest(held, staged, KEY, UPDATED, False)
         assert nodes(merged, "Exchange") == 0
         assert merged.count() == 60
+        # keys in hash tables spare the sort of the stored rows
+        hashed = _merge_latest(held, staged, KEY, UPDATED, False, hashed=True)
+        assert nodes(hashed, "Exchange") == nodes(hashed, "Sort") == 0 < nodes(merged, "Sort")
+        assert as_set(hashed) == as_set(merged)
     # a batch that is merged again finds its rows
     for _ in range(2):
         merge_into(spark, path, batch(range(40, 60), "2025-02-02"), KEY, UPDATED)
@@ -381,3 +387,31 @@ def test_a_staged_history_is_not_shuffled_for_the_next_snapshot(spark):
             assert nodes(grown, "Exchange") == 1  # that of the snapshot
             name = stage_history(name, later, "k", "updated")
             assert spark.table(name).count() == 80
+
+
+def test_layers_are_encoded_cheaply(spark, folder):
+    prepare(spark)
+    rows = [{"unique_key": str(k), "bbl": str(k), "city": "C", ":updated_at": "2025-01-01"} for k in range(9)]
+    append_silver(silver_frame(spark, rows).coalesce(1), folder)
+    (file,) = glob.glob(f"{folder}/*/*.parquet")
+    stored = pq.ParquetFile(file)
+    names = stored.schema_arrow.names
+    kinds = {stored.schema.column(k).physical_type for k, n in enumerate(names) if n.endswith("_at")}
+    assert kinds == {"INT64"}
+    group = stored.metadata.row_group(0)
+    with_dictionary = {
+        n for k, n in enumerate(names) if any("DICTIONARY" in e for e in group.column(k).encodings)
+    }
+    assert "city" in with_dictionary and not with_dictionary & {"unique_key", "bbl"}
+
+
+def test_a_partition_is_emptied_though_a_passed_over_row_points_to_it(spark, folder):
+    def merge(rows):
+        frame = spark.createDataFrame(rows, "k string, t string, d string")
+        frame = frame.select("k", "t", F.col("d").cast("timestamp").alias("created_date"))
+        merge_into(spark, folder, frame, "k", "t", newer_only=True, cluster=["k"])
+
+    merge([("a", "9", "2025-01-02"), ("b", "1", "2025-01-01")])
+    merge([("a", "5", "2025-01-01"), ("b", "2", "2025-01-03")])
+    found = spark.read.parquet(folder).select("k", "t").collect()
+    assert sorted(map(tuple, found)) == [("a", "9"), ("b", "2")]
